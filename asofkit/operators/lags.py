@@ -19,27 +19,24 @@ def lag_columns(array: str, prefix: str, features: Sequence[str], lags: int, ts_
     """``{prefix}_{feature}_lag{k}`` and ``{prefix}_wts_lag{k}``; NULL past the end of the array."""
     columns = []
     for k in range(lags):
-        item = F.get(F.col(array), k)
-        columns += [item[f].alias(f"{prefix}_{f}_lag{k}") for f in features]
-        columns.append(item[ts_name].alias(f"{prefix}_wts_lag{k}"))
+        item = f"get(`{array}`, {k})"
+        columns += [F.expr(f"{item}.`{f}` AS `{prefix}_{f}_lag{k}`") for f in features]
+        columns.append(F.expr(f"{item}.`{ts_name}` AS `{prefix}_wts_lag{k}`"))
     return columns
 
 
 def lag_stats(prefix: str, feature: str, lags: int) -> list[Column]:
     """A10 over flattened lag columns: min and max skip NULLs; avg is NULL unless all lags are there; delta is
     newest minus oldest. avg and delta are computed as doubles, so small integer types cannot overflow."""
-    names = [f"{prefix}_{feature}_lag{k}" for k in range(lags)]
-    values = [F.col(n).cast("double") for n in names]
-    total = values[0]
-    for v in values[1:]:
-        total = total + v
-    low, high = (F.least(*names), F.greatest(*names)) if lags > 1 else (F.col(names[0]), F.col(names[0]))
+    names = [f"`{prefix}_{feature}_lag{k}`" for k in range(lags)]
+    values = [f"double({n})" for n in names]
+    low, high = (f"least({', '.join(names)})", f"greatest({', '.join(names)})") if lags > 1 else names * 2
     stem = f"{prefix}_{feature}"
     return [
-        low.alias(f"{stem}_min"),
-        high.alias(f"{stem}_max"),
-        (total / lags).alias(f"{stem}_avg"),
-        (values[0] - values[-1]).alias(f"{stem}_delta"),
+        F.expr(f"{low} AS `{stem}_min`"),
+        F.expr(f"{high} AS `{stem}_max`"),
+        F.expr(f"({' + '.join(values)}) / {lags} AS `{stem}_avg`"),
+        F.expr(f"{values[0]} - {values[-1]} AS `{stem}_delta`"),
     ]
 
 
