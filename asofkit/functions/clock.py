@@ -11,12 +11,13 @@ _MAX_SHIFT_SECONDS = 10_000_000_000
 
 def iso_date(c: Column) -> Column:
     """``yyyy-MM-dd`` text to date, else NULL."""
-    return F.try_to_date(c, "yyyy-MM-dd")
+    return F.when(c.rlike(r"^\d{4}-\d\d-\d\d$"), c.try_cast("date"))
 
 
 def compact_date(c: Column) -> Column:
     """``yyyyMMdd`` text to date, else NULL."""
-    return F.try_to_date(c, "yyyyMMdd")
+    dashed = F.concat_ws("-", F.substring(c, 1, 4), F.substring(c, 5, 2), F.substring(c, 7, 2))
+    return F.when(c.rlike(r"^\d{8}$"), dashed.try_cast("date"))
 
 
 def pad_hhmm(c: Column) -> Column:
@@ -30,7 +31,7 @@ def wall_clock(date: Column, hhmm: Column) -> Column:
     text = F.concat(
         date.cast("string"), F.lit(" "), F.substring(clock, 1, 2), F.lit(":"), F.substring(clock, 3, 2)
     )
-    return F.when(clock.rlike(r"^\d{4}$"), text.try_cast("timestamp_ntz"))
+    return F.when(clock.rlike(r"^([01]\d|2[0-3])[0-5]\d$"), text.try_cast("timestamp_ntz"))
 
 
 def add_minutes(ts: Column, minutes: Column) -> Column:

@@ -34,6 +34,8 @@ def test_query_equals_oracle(spark, duck, name):
     rel = duck.sql(entry.oracle_sql()[name])
     columns = sorted(df.columns)
     assert columns == sorted(rel.columns)
+    sql_types = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
+    assert {c: sql_types[t] for c, t in df.dtypes} == dict(zip(rel.columns, map(str, rel.types)))
     order = [rel.columns.index(c) for c in columns]
     want = Counter(tuple(plain(r[i]) for i in order) for r in rel.fetchall())
     got = Counter(tuple(plain(r[c]) for c in columns) for r in df.collect())
