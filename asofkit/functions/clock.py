@@ -48,10 +48,15 @@ def add_hours(ts: Column, hours: Column | int) -> Column:
 
 
 def micros(ts: Column, zoneless: bool) -> Column:
-    """Microseconds since 1970 as a long, for both timestamp types."""
+    """Microseconds since 1970 as a long, for both timestamp types.
+
+    A zoneless time is measured as an interval: ``timestampdiff`` and ``unix_micros`` would read it in the
+    session zone and move times inside a DST gap.
+    """
     if not zoneless:
         return F.unix_micros(ts)
-    return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), ts)
+    since = (ts - F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")).cast("interval second")
+    return (since.cast("decimal(20,6)") * 1_000_000).cast("bigint")
 
 
 def month(c: Column) -> Column:

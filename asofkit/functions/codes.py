@@ -45,21 +45,32 @@ def mean_of(arr: Column) -> Column:
     return F.when(F.size(arr) > 0, total / F.size(arr))
 
 
-def code_tokens(c: Column) -> Column:
-    """X5, first half: the text's codes and signs, last token first, so that the last duplicate is found first."""
-    return F.struct(
-        F.reverse(F.regexp_extract_all(c, F.lit(CODE_PATTERN), F.lit(2))).alias("code"),
-        F.reverse(F.regexp_extract_all(c, F.lit(CODE_PATTERN), F.lit(1))).alias("sign"),
-    )
+def code_digits(c: Column) -> Column:
+    """X5, first half: one digit per code of ``WEATHER_CODES``, its weight, in one text; the last duplicate wins.
 
+    Tokens are taken left to right, so a code is never found across the border of two others.
+    """
+    none = F.lit("0" * len(WEATHER_CODES))
+    codes = F.lit(" ".join(WEATHER_CODES))
 
-def score_in(tokens: Column, code: str) -> Column:
-    """X5, second half: the score of one code among ``code_tokens``; 0 when it is absent."""
-    sign = F.get(tokens["sign"], F.array_position(tokens["code"], code).cast("int") - 1)
-    score = F.when(sign == "-", LIGHT).when(sign == "", PLAIN).when(sign == "+", HEAVY)
-    return F.coalesce(score, F.lit(0))
+    def put(digits: Column, token: Column) -> Column:
+        place = ((F.instr(codes, F.right(token, F.lit(2))) + 2) / 3).cast("int")
+        sign = F.left(token, F.lit(1))
+        weight = F.when(sign == "-", str(LIGHT)).when(sign == "+", str(HEAVY)).otherwise(str(PLAIN))
+        return F.when(place > 0, F.overlay(digits, weight, place, 1)).otherwise(digits)
+
+    tokens = F.regexp_extract_all(c, F.lit(CODE_PATTERN), F.lit(0))
+    return F.coalesce(F.aggregate(tokens, none, put), none)
+
+
+def score_in(digits: Column, code: str) -> Column:
+    """X5, second half: the score of one code in ``code_digits``; 0 when it is absent.
+
+    Kept this small because 28 of them share one generated method, which the JVM only compiles below 8000 bytes.
+    """
+    return F.ascii(F.substring(digits, WEATHER_CODES.index(code) + 1, 1)) - ord("0")
 
 
 def weather_score(c: Column, code: str) -> Column:
-    """Score of one code in a weather text. For many codes, hold ``code_tokens`` in a column first."""
-    return score_in(code_tokens(c), code)
+    """Score of one code in a weather text. For many codes, hold ``code_digits`` in a column first."""
+    return score_in(code_digits(c), code) if code in WEATHER_CODES else F.lit(0)

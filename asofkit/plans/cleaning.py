@@ -44,12 +44,10 @@ def clean_flights(raw: DataFrame) -> DataFrame:
             df = df.where(~casts.is_set(F.col(flag)))  # an unknown flag drops the row too
     df = df.drop("CANCELLED", "DIVERTED")
     df = add_missing(df, {"WEATHER_DELAY": "string", "NAS_DELAY": "string"})
+    df = casts.with_whole(df, dict.fromkeys(("OP_CARRIER_FL_NUM", "ORIGIN_AIRPORT_ID", "DEST_AIRPORT_ID"), "smallint"))
     # every expression reads the raw values: the HAS_ flags see them before defaults are filled in
     return df.withColumns({
         "FL_DATE": clock.iso_date(F.col("FL_DATE")),
-        "OP_CARRIER_FL_NUM": casts.to_whole(F.col("OP_CARRIER_FL_NUM"), "smallint"),
-        "ORIGIN_AIRPORT_ID": casts.to_whole(F.col("ORIGIN_AIRPORT_ID"), "smallint"),
-        "DEST_AIRPORT_ID": casts.to_whole(F.col("DEST_AIRPORT_ID"), "smallint"),
         "CRS_ELAPSED_TIME": casts.to_real(F.col("CRS_ELAPSED_TIME")),
         "ARR_DELAY_NEW": casts.to_real(F.col("ARR_DELAY_NEW")),
         "WEATHER_DELAY": casts.value_or(casts.to_real(F.col("WEATHER_DELAY")), 0.0).cast("float"),
@@ -78,16 +76,13 @@ def allowed_stations(
     return restrict_to(station_map, used, "AirportId").select("WBAN", "AirportId").distinct()
 
 
-def type_weather(raw: DataFrame) -> DataFrame:
-    """Typed weather rows: no Celsius columns, a timestamp for Date and Time, measures per ``WEATHER_TYPES``."""
-    df = drop_matching(raw, "Celsius")
-    columns = {"WBAN": casts.to_whole(casts.null_if_missing(F.col("WBAN")), "int")}
-    for name, data_type in WEATHER_TYPES.items():
-        text = casts.null_if_missing(F.col(name))
-        if name == "HourlyPrecip":
-            text = casts.null_if_trace(text)
-        real = data_type == "float"
-        columns[name] = casts.to_real(text) if real else casts.to_whole(text, data_type)
+def type_weather(df: DataFrame) -> DataFrame:
+    """A timestamp for Date and Time, measures per ``WEATHER_TYPES``.
+
+    The number patterns refuse the marks of missing values and trace amounts (F7, F8), so these become NULL.
+    """
+    df = casts.with_whole(df, {n: t for n, t in WEATHER_TYPES.items() if t != "float"})
+    columns = {n: casts.to_real(F.col(n)) for n, t in WEATHER_TYPES.items() if t == "float"}
     columns["timestamp"] = clock.wall_clock(clock.compact_date(F.col("Date")), F.col("Time"))
     return df.withColumns(columns).drop("Date", "Time")
 
@@ -98,10 +93,16 @@ def clean_weather(
     flights: DataFrame,
     ids: Sequence[str] = ("ORIGIN_AIRPORT_ID", "DEST_AIRPORT_ID"),
 ) -> DataFrame:
-    """Z3: weather at the airports in use, typed and with features.
+    """Z3: weather at the airports in use, typed and with features; no Celsius columns.
 
-    Rows are restricted before the texts are parsed, so rows of other stations cost only their scan.
+    Only the station is parsed before the restriction, so rows of other stations cost little more than their
+    scan. Typing stands between the two feature steps, whose lambdas end a generated method: in one method with
+    either of them it would be too large for the JVM to compile.
     """
     allowed = allowed_stations(station_map, flights, ids).where(F.col("AirportId").isNotNull())
-    here = attach_keys(type_weather(raw), allowed, "WBAN")
-    return add_weather_scores(add_sky_features(here))
+    kept = casts.with_whole(drop_matching(raw, "Celsius"), {"WBAN": "int"})
+    here = attach_keys(kept, allowed, "WBAN")
+    df = add_weather_scores(type_weather(add_sky_features(here)))
+    head = [c for c in here.columns if c.lower() not in ("date", "time", "airportid")]
+    made = [c for c in df.columns if c.startswith(("sky_", "wt_score_"))]
+    return df.select(*head, "timestamp", "AirportId", *made)

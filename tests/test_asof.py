@@ -168,6 +168,21 @@ def test_same_under_other_partitioning(spark):
     assert results[0] == results[1] == results[2]
 
 
+@pytest.mark.parametrize("segment_rows", [10_000, 20])
+def test_wall_clock_in_a_dst_gap(spark, segment_rows):
+    """Zoneless times keep their order whatever the session zone: 02:30 does not exist in this one."""
+    rnd = random.Random(4)
+    gap = datetime(2012, 3, 11, 1)
+    left = [(i, 0, gap + timedelta(minutes=rnd.randrange(180))) for i in range(120)]
+    right = [(0, gap + timedelta(minutes=rnd.randrange(180)), 0, i) for i in range(120)]
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        got = actual(run(spark, left, right, hours=1, segment_rows=segment_rows, max_pieces=30), 3)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert got == expected(left, right, 1, 3)
+
+
 def test_one_shuffle_when_small(spark):
     left, right = random_case(1, 3, n=20)
     plan = run(spark, left, right)._jdf.queryExecution().toString()
