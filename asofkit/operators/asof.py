@@ -61,8 +61,8 @@ def _keyed(df: DataFrame, by: Sequence[str], ts: str) -> DataFrame:
     })
 
 
-def _complete(keys: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in (*keys, "_t")])
+def _complete(columns: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
 
 
 def find_splits(points: DataFrame, keys: Sequence[str], segment_rows: int, max_pieces: int | None) -> Splits | None:
@@ -81,7 +81,7 @@ def find_splits(points: DataFrame, keys: Sequence[str], segment_rows: int, max_p
     step = max(1, round(total * fraction / pieces))
     by_time = Window.partitionBy(*keys).orderBy("_t")
     cuts = (
-        points.where(_complete(keys))
+        points.where(_complete([*keys, "_t"]))
         .sample(fraction=fraction, seed=7)
         .withColumn("_n", F.row_number().over(by_time))
         .where(F.col("_n") % step == 0)
@@ -203,6 +203,7 @@ def asof_lags(
     legacy_unmatched: bool = False,
     segment_rows: int = SEGMENT_ROWS,
     max_pieces: int | None = None,
+    measure: DataFrame | None = None,
 ) -> DataFrame:
     """Attach to each left row the last ``lags`` right rows at or before ``left_ts`` with the same key.
 
@@ -211,7 +212,8 @@ def asof_lags(
     the highest ``tie_break`` values come first, then the highest payload, so the result is fully determined.
     Unmatched left rows get an empty array or a NULL struct, with ``legacy_unmatched`` an all-NULL struct instead.
 
-    Starts one count over both inputs, and one sample of them when they exceed ``segment_rows``.
+    Starts one count over both inputs, and one sample of them when they exceed ``segment_rows``. Where ``left``
+    is costly to make, ``measure`` may name a table with the same keys and times to count in its place.
     """
     if lags < 0:
         raise ValueError(f"lags must not be negative: {lags}")
@@ -224,9 +226,10 @@ def asof_lags(
     tolerance = None if tolerance_hours is None else tolerance_hours * _MICROS_PER_HOUR
 
     probes = _keyed(left, by, left_ts)
-    obs = _keyed(right, right_by, right_ts).where(_complete(keys))
+    obs = _keyed(right.where(_complete([*right_by, right_ts])), right_by, right_ts)
+    measured = probes if measure is None else _keyed(measure, by, left_ts)
     splits = find_splits(
-        probes.select(*keys, "_t").unionByName(obs.select(*keys, "_t")), keys, segment_rows, max_pieces
+        measured.select(*keys, "_t").unionByName(obs.select(*keys, "_t")), keys, segment_rows, max_pieces
     )
 
     obs = obs.select(*keys, "_t", F.struct(
@@ -243,7 +246,7 @@ def asof_lags(
         plain_columns = [f.name for f in left.schema if isinstance(f.dataType, T.AtomicType)]
         deal = F.xxhash64(*plain_columns, F.spark_partition_id())
         salt = (
-            F.when(~_complete(keys), F.pmod(deal, F.lit(splits.pieces)).cast("int") + 1)
+            F.when(~_complete([*keys, "_t"]), F.pmod(deal, F.lit(splits.pieces)).cast("int") + 1)
             .when(F.col("_deal").isNotNull(), F.pmod(deal, F.col("_deal")).cast("int") + 1)
             .otherwise(0)
         )

@@ -50,10 +50,13 @@ def interval_join(
 
     def bucket(df: DataFrame, ts: str):
         zoneless = isinstance(df.schema[ts].dataType, T.TimestampNTZType)
-        return F.floor(micros(F.col(ts), zoneless) / width).cast("bigint")
+        t = micros(F.col(ts), zoneless)
+        return t - F.pmod(t, F.lit(width))
 
-    own = bucket(left, left_ts)
-    near = probes.where(F.col("_latest").isNotNull()).withColumn("_b", F.explode(F.array(own - 1, own)))
+    near = probes.where(F.col("_latest").isNotNull()).withColumns({
+        "_own": bucket(left, left_ts),
+        "_from": F.timestamp_add("HOUR", F.lit(-hours), F.col(left_ts)),
+    }).withColumn("_b", F.explode(F.array(F.col("_own") - width, F.col("_own"))))
     placed = right.select(
         *[F.col(c).alias(f"_k{i}") for i, c in enumerate(right_by)], *right_columns,
         bucket(right, right_ts).alias("_b"),
@@ -61,8 +64,7 @@ def interval_join(
     keys = [near[c] == placed[f"_k{i}"] for i, c in enumerate(by)]
     matched = near.join(
         placed,
-        [*keys, near["_b"] == placed["_b"], placed[right_ts] <= near[left_ts],
-         placed[right_ts] >= F.timestamp_add("HOUR", F.lit(-hours), near[left_ts])],
+        [*keys, near["_b"] == placed["_b"], placed[right_ts].between(near["_from"], near[left_ts])],
     ).select(*left.columns, *right_columns)
     unmatched = probes.where(F.col("_latest").isNull()).select(*left.columns)
     return matched.unionByName(unmatched, allowMissingColumns=True)

@@ -79,7 +79,7 @@ def enrich(
         df = asof_lags(
             df, observations, by=key, right_by="apt_id", left_ts=ts, right_ts="w_ts", tolerance_hours=hours,
             lags=lags, payload=names, tie_break=ties, out=f"weather_{side}{kind}",
-            legacy_unmatched=legacy_unmatched, segment_rows=segment_rows,
+            legacy_unmatched=legacy_unmatched, segment_rows=segment_rows, measure=timed,
         )
     present = [c for c in OPTIONAL if c in df.columns]
     return df.select(*OUTPUT_ORDER, *present, f"weather_origin{kind}", f"weather_dest{kind}")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from asofkit import PipelineConfig, clean_flights, enrich, flat_features, run_pipeline
+from asofkit.operators import asof
 from asofkit.operators.intervals import time_bounds, within
 from asofkit.plans import pipeline
 from asofkit.plans.cleaning import allowed_stations, clean_station_map
@@ -138,6 +139,20 @@ def test_single_lag_and_legacy(spark, made, segment_rows):
     assert all(len(r.weather_origin) == 1 for r in legacy.collect())
 
 
+def test_measuring_never_runs_a_join(spark, made, monkeypatch):
+    """Counting and sampling read the clean tables, not the result of the origin join."""
+    plans, plain = [], asof.find_splits
+
+    def spy(points, *rest):
+        plans.append(points._jdf.queryExecution().optimizedPlan().toString())
+        return plain(points, *rest)
+
+    monkeypatch.setattr(asof, "find_splits", spy)
+    paths = tables.TablePaths(made[0].out_root)
+    enrich(read(spark, paths.flights), read(spark, paths.weather))
+    assert len(plans) == 2 and not any("Window" in p for p in plans)
+
+
 def test_zone_shift(spark, made):
     paths = tables.TablePaths(made[0].out_root)
     flights, weather = read(spark, paths.flights), read(spark, paths.weather)
