@@ -33,8 +33,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from asofkit.functions.clock import micros
-
 SEGMENT_ROWS = 1_000_000
 _SAMPLE_PER_PIECE = 100
 _MICROS_PER_HOUR = 3_600_000_000
@@ -45,7 +43,7 @@ _START, _OBSERVATION, _PROBE = 0, 1, 2
 
 @dataclass(frozen=True)
 class Splits:
-    """Cut points of hot keys: a frame (key columns, _cuts array<long>, _mult array<int>), and its limits."""
+    """Cut points of hot keys: a frame (key columns, _cuts array, _mult array<int>), and its limits."""
 
     frame: DataFrame
     pieces: int
@@ -54,13 +52,22 @@ class Splits:
 
 
 def _keyed(df: DataFrame, by: Sequence[str], ts: str) -> DataFrame:
+    """Add key columns and ``_t``: a zoneless time as it is, one with a zone as microseconds, since cut points
+    pass through the driver, where such times would be read in its own zone."""
     zoneless = isinstance(df.schema[ts].dataType, T.TimestampNTZType)
     return df.withColumns({
         **{f"_k{i}": F.col(c) for i, c in enumerate(by)},
-        "_t": micros(F.col(ts), zoneless),
+        "_t": F.col(ts) if zoneless else F.unix_micros(ts),
     })
 
 
+def _earlier(df: DataFrame, c: Column, hours: int) -> Column:
+    """``c``, a value like ``_t`` of ``df``, some hours before."""
+    if isinstance(df.schema["_t"].dataType, T.TimestampNTZType):
+        return c - F.expr(f"INTERVAL {int(hours)} HOURS")
+    return c - int(hours) * _MICROS_PER_HOUR
+
+
 def _complete(columns: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
 
@@ -103,7 +110,7 @@ def _segmented(df: DataFrame, keys: Sequence[str], splits: Splits) -> DataFrame:
     instant, else NULL)."""
     if splits.most_cuts == 0:
         return df.withColumns({
-            "_seg": F.lit(0), "_end": F.lit(None).cast("bigint"), "_deal": F.lit(None).cast("int")
+            "_seg": F.lit(0), "_end": F.lit(None).cast(df.schema["_t"].dataType), "_deal": F.lit(None).cast("int")
         })
     steps = [1 << i for i in reversed(range(splits.most_cuts.bit_length()))]
     # binary search; a probe past the end yields NULL and is not taken
@@ -147,14 +154,14 @@ def _top(df: DataFrame, group: Sequence[str], n: int) -> DataFrame:
     return df.withColumn("_rk", F.row_number().over(newest)).where(F.col("_rk") <= n).drop("_rk")
 
 
-def _split_observations(obs: DataFrame, keys: Sequence[str], n: int, tolerance: int | None,
+def _split_observations(obs: DataFrame, keys: Sequence[str], n: int, hours: int | None,
                         splits: Splits) -> DataFrame:
     """Observations of all segments, each led by its carry, plus the shared ones of each salt of hot instants."""
     placed = _segmented(obs, keys, splits)
     plain = placed.where(F.col("_deal").isNull())
     near_end = F.col("_end").isNotNull()
-    if tolerance is not None:
-        near_end &= F.col("_end") - F.col("_t") <= tolerance
+    if hours is not None:
+        near_end &= F.col("_t") >= _earlier(obs, F.col("_end"), hours)
     columns = [*keys, "_seg", "_t", "_o"]
     tails = _top(plain.where(near_end), [*keys, "_seg"], n).select(*columns)
     body = plain.select(*columns)
@@ -223,7 +230,6 @@ def asof_lags(
         raise ValueError(f"keys differ in number: {by} and {right_by}")
     payload = [c for c in right.columns if c not in (*right_by, right_ts)] if payload is None else list(payload)
     n, keys = max(lags, 1), [f"_k{i}" for i in range(len(by))]
-    tolerance = None if tolerance_hours is None else tolerance_hours * _MICROS_PER_HOUR
 
     probes = _keyed(left, by, left_ts)
     obs = _keyed(right.where(_complete([*right_by, right_ts])), right_by, right_ts)
@@ -254,7 +260,7 @@ def asof_lags(
         if splits.most_cuts == 0:
             obs = obs.withColumns({"_seg": F.lit(0), "_salt": F.lit(0)})
         else:
-            obs = _split_observations(obs, keys, n, tolerance, splits)
+            obs = _split_observations(obs, keys, n, tolerance_hours, splits)
 
     rows = (
         probes.select(*keys, "_seg", "_salt", "_t", F.lit(_PROBE).alias("_side"),
@@ -262,10 +268,11 @@ def asof_lags(
         .unionByName(obs.withColumn("_side", F.lit(_OBSERVATION)), allowMissingColumns=True)
     )
     found = _look_back(rows, keys, n)
+    oldest = None if tolerance_hours is None else _earlier(rows, F.col("_t"), tolerance_hours)
 
     def inside(k: int) -> Column:
         h = F.col(f"_h{k}")
-        return h.isNotNull() if tolerance is None else F.coalesce(h["t"] >= F.col("_t") - tolerance, F.lit(False))
+        return h.isNotNull() if oldest is None else F.coalesce(h["t"] >= oldest, F.lit(False))
 
     nulls = F.struct(*[F.lit(None).cast(f.dataType).alias(f.name) for f in record.fields])
     if lags == 0:
