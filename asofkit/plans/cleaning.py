@@ -92,17 +92,21 @@ def clean_weather(
     station_map: DataFrame,
     flights: DataFrame,
     ids: Sequence[str] = ("ORIGIN_AIRPORT_ID", "DEST_AIRPORT_ID"),
+    numeric_visibility: bool = False,
 ) -> DataFrame:
     """Z3: weather at the airports in use, typed and with features; no Celsius columns.
 
     Only the station is parsed before the restriction, so rows of other stations cost little more than their
     scan. Typing stands between the two feature steps, whose lambdas end a generated method: in one method with
-    either of them it would be too large for the JVM to compile.
+    either of them it would be too large for the JVM to compile. ``Visibility`` stays text, and so no numeric
+    feature, unless asked for.
     """
     allowed = allowed_stations(station_map, flights, ids).where(F.col("AirportId").isNotNull())
     kept = casts.with_whole(drop_matching(raw, "Celsius"), {"WBAN": "int"})
     here = attach_keys(kept, allowed, "WBAN")
     df = add_weather_scores(type_weather(add_sky_features(here)))
+    if numeric_visibility and "Visibility" in df.columns:
+        df = df.withColumn("Visibility", casts.to_real(F.col("Visibility")))
     head = [c for c in here.columns if c.lower() not in ("date", "time", "airportid")]
     made = [c for c in df.columns if c.startswith(("sky_", "wt_score_"))]
     return df.select(*head, "timestamp", "AirportId", *made)

@@ -44,6 +44,7 @@ class PipelineConfig:
     database: str | None = "flight_weather"
     exact_quality: bool = False
     tz_adjust: bool = False
+    numeric_visibility: bool = False
     legacy_unmatched: bool = False
     flat: bool = False
     month_report: bool = False
@@ -78,6 +79,7 @@ def prepare(spark: SparkSession, config: PipelineConfig) -> dict[str, int]:
             read_text_table(spark, weather_glob),
             read_table(spark, paths.stations, config.fmt),
             read_table(spark, paths.flights, config.fmt),
+            numeric_visibility=config.numeric_visibility,
         ),
         paths.weather, config.fmt,
     )

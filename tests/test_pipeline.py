@@ -1,11 +1,9 @@
 """All stages on the raw fixtures, through files, against fixed expected rows."""
 
-import json
-from datetime import date, datetime
+from dataclasses import replace
+from datetime import datetime
 
 import pytest
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from asofkit import PipelineConfig, clean_flights, enrich, flat_features, run_pipeline
 from asofkit.operators import asof
@@ -15,8 +13,7 @@ from asofkit.plans.cleaning import allowed_stations, clean_station_map
 from asofkit.sources import tables
 from tests.raw import write_raw
 
-NAMES = {("13874", "09:00"): "w1", ("13874", "00:53"): "w2", ("53863", "09:00"): "w3", ("13874", "09:05"): "w4",
-         ("23174", "10:30"): "w5"}
+# dry-bulb temperature tells the observations apart
 DRY = {41.0: "w1", None: "w2", 42.0: "w3", 43.0: "w4", 44.0: "w5"}
 
 
@@ -241,7 +238,13 @@ def test_all_months_and_rerun(spark, made, tmp_path):
         flights_dir=f"{tmp_path}/Flights", weather_dir=f"{tmp_path}/Weather", station_csv=f"{tmp_path}/stations.csv",
         out_root=f"{tmp_path}/out", mode="prepare", database=None)
     assert run_pipeline(spark, config) is None
+    config = replace(config, numeric_visibility=True)
     assert pipeline.prepare(spark, config) == {"flight_clean": 7, "airport_timezone_clean": 4, "weather_clean": 6}
+    weather = read(spark, tables.TablePaths(config.out_root).weather)
+    assert dict(weather.dtypes)["Visibility"] == "float" and weather.first().Visibility == 10.0
+    assert run_pipeline(spark, replace(config, mode="quality")) is None
+    single = run_pipeline(spark, replace(config, mode="join", lags=0, tz_adjust=True))
+    assert single.count() == 7 and single.columns[-1] == "weather_dest_single"
 
 
 def test_bad_parameters():
