@@ -35,6 +35,20 @@ class Scratch:
         return self.spark.read.schema(df.schema).parquet(at)
 
 
+BATCH_BYTES = 16 << 20
+
+
+def bounded(df: DataFrame) -> DataFrame:
+    """``df``, for a session whose Arrow batches hold 16 MB at most: rows with long texts would else fill a worker.
+
+    Only Spark's default (64 MB) is lowered; a value that the caller has set stays.
+    """
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    if conf.get(key) == f"{64 << 20}b":
+        conf.set(key, str(BATCH_BYTES))
+    return df
+
+
 def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: str) -> DataFrame:
     """Rows that ``fn`` makes of each Arrow batch, as a dict of columns in the schema's order."""
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -48,7 +62,7 @@ def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: str)
             if made is not None:
                 yield pa.RecordBatch.from_arrays([pa.array(made[f.name], f.type) for f in arrow], schema=arrow)
 
-    return df.mapInArrow(run, schema)
+    return bounded(df).mapInArrow(run, schema)
 
 
 def utf8(batch: pa.RecordBatch, name: str) -> list[bytes]:

@@ -9,11 +9,13 @@ together), so the trees are built per block: a pair over the threshold shares on
 shingles of either side in any fixed order (prefix filter, no loss). The order is: often seen shingles last. How often
 is estimated from the data; a poor estimate costs time, never a pair.
 
-1. Blocks with two texts or more are found by an aggregate on the key (combined map-side).
-2. Every text is verified against its best pivot (the smallest text of a block, the one it meets in most blocks): a
-   pair per text at most. A large group of near copies collapses here; copies had one node from the start.
-3. What blocks still hold several components get R-trees; a block over ``tile`` texts is dealt to pairs of tiles, so no
-   task holds more than two tiles. Pairs inside a component are skipped: they cannot change it.
+1. Keys (prefix shingles) that two texts or more share are found by an aggregate (combined map-side). A block is all
+   texts that share a key with the same pivot, the smallest text of that key; so a pair meets in few blocks.
+2. Blocks get R-trees over the counts of their texts. A block over ``tile`` texts is dealt to pairs of tiles, so no task
+   holds more than two tiles. The first round takes a spanning forest of the pairs that survive the bound: fewer pairs
+   than texts, so a large group of near copies costs its size, not its square. Copies had one node from the start.
+3. The second round takes all surviving pairs between different components. Pairs inside a component cannot change it.
+Vectors travel with the keys; whole sets are made again from the texts for surviving pairs alone.
 
 Defined results: null text counts as empty, and a text without words is linked with nothing. Copies share a node and
 so a component. Rows that repeat are kept one for one. A null doc_id takes part, but names a component only if the
@@ -30,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from asofkit.llm.common import Bitmap, Scratch, map_arrow, table, utf8
+from asofkit.llm.common import Bitmap, Scratch, bounded, map_arrow, table, utf8
 
 _MULT, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
@@ -67,15 +69,29 @@ def shingle_set(text: bytes, n: int = 5) -> np.ndarray:
     return np.unique(windows(word_hashes(words), n)) if words else np.empty(0, np.uint64)
 
 
+def node_of(shingles: bytes) -> int:
+    return int.from_bytes(hashlib.blake2b(shingles, digest_size=8).digest(), "little", signed=True)
+
+
 def count_vector(shingles: np.ndarray) -> np.ndarray:
-    """Counts by group. More groups for larger sets, as the bound is only sharp with few shingles in a group."""
-    groups = max(64, 1 << int(np.ceil(np.log2(max(len(shingles), 1) / 8 + 1))))
-    return np.bincount((shingles & np.uint64(groups - 1)).astype(np.int64), minlength=groups).astype(np.int32)
+    """Counts by group, one byte each. The bound is only sharp with few shingles in a group: two groups for
+    a shingle in short texts, one for two in long ones, where chance evens out. Doubled until each count fits its byte."""
+    groups = 1 << int(np.ceil(np.log2(max(2 * min(len(shingles), 256), len(shingles) / 2, 16))))
+    while True:
+        counts = np.bincount((shingles & np.uint64(groups - 1)).astype(np.int64), minlength=groups)
+        if counts.max(initial=0) < 256:
+            return counts.astype(np.uint8)
+        groups *= 2
 
 
 def fold(vector: np.ndarray, groups: int) -> np.ndarray:
     """The same counts over fewer groups (powers of two, by the low bits)."""
-    return vector.reshape(-1, groups).sum(0) if len(vector) > groups else vector
+    return vector.reshape(-1, groups).sum(0, dtype=np.int32)
+
+
+def band(n: np.ndarray) -> np.ndarray:
+    """Size classes; sizes of linked texts are at most 4 : 3, so at most one class apart."""
+    return np.floor(np.log(n) / np.log(4 / 3) + 1e-9).astype(np.int64)
 
 
 def needed(a, b):
@@ -116,7 +132,7 @@ class RTree:
         return q, self.order[node]
 
 
-def _often(docs: DataFrame, k: int, chunk: int = 1_000_000, least: int = 8, most: int = 100_000) -> np.ndarray:
+def _often(docs: DataFrame, k: int, chunk: int = 4_000_000, least: int = 3, most: int = 500_000) -> np.ndarray:
     """Shingles of many documents, the most frequent last: counted in chunks that hold them ``least`` times or more."""
     def count(batch):
         out, sets, held = [], [], 0
@@ -136,31 +152,31 @@ def _often(docs: DataFrame, k: int, chunk: int = 1_000_000, least: int = 8, most
 
 
 def _keyed(docs: DataFrame, often: np.ndarray, k: int) -> DataFrame:
-    """A row per document: doc_id, node (hash of its set), n (size of the set), keys (its prefix)."""
+    """A row per document: doc_id, node (hash of its set), n (size of the set), vec (its counts), keys (its prefix)."""
     rank = docs.sparkSession.sparkContext.broadcast((np.sort(often), np.argsort(often)))
 
     def key(batch):
         common, place = rank.value
-        nodes, sizes, keys = [], [], []
+        nodes, sizes, vecs, keys = [], [], [], []
         for text in utf8(batch, "text"):
             s = shingle_set(text, k)
-            nodes.append(int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True))
+            nodes.append(node_of(s.tobytes()))
             sizes.append(len(s))
+            vecs.append(count_vector(s).tobytes())
             prefix = len(s) - -(-3 * len(s) // 4) + 1
             if len(common) and len(s):
                 at = np.minimum(np.searchsorted(common, s), len(common) - 1)
                 met = common[at] == s
                 s = np.concatenate([s[~met], s[met][np.argsort(place[at[met]], kind="stable")]])
             keys.append(s[:prefix].view(np.int64))
-        return {"doc_id": batch.column("doc_id"), "node": nodes, "n": sizes, "keys": keys}
+        return {"doc_id": batch.column("doc_id"), "node": nodes, "n": sizes, "vec": vecs, "keys": keys}
 
-    return map_arrow(docs.select("doc_id", "text"), key, "doc_id long, node long, n long, keys array<long>")
+    return map_arrow(docs.select("doc_id", "text"), key, "doc_id long, node long, n long, vec binary, keys array<long>")
 
 
 def _members(keyed: DataFrame, shared: DataFrame) -> DataFrame:
-    """(key, node, pivot) of the keys that several nodes share. A bitmap sorts out most other keys before the shuffle."""
-    spark = keyed.sparkSession
-    bitmap = spark.sparkContext.broadcast(Bitmap(shared.select("key")))
+    """(node, pivot): the blocks of each node. A bitmap sorts out most other keys before the shuffle."""
+    bitmap = keyed.sparkSession.sparkContext.broadcast(Bitmap(shared.select("key")))
 
     def sieve(batch):
         keys = batch.column("keys")
@@ -168,82 +184,115 @@ def _members(keyed: DataFrame, shared: DataFrame) -> DataFrame:
         met = bitmap.value.has(flat)
         return {"node": np.repeat(batch.column("node").to_numpy(), lengths)[met], "key": flat[met]}
 
-    return map_arrow(keyed.select("node", "keys"), sieve, "node long, key long").join(shared, "key")
+    met = map_arrow(keyed.select("node", "keys"), sieve, "node long, key long")
+    return met.join(shared, "key").select("node", "pivot").distinct()
 
 
-def _sets(docs: DataFrame, keyed: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
-    """(node, n, vec, shingles) of these nodes, from the whole texts again: holding all sets would outgrow the input."""
-    reps = keyed.join(nodes, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
+def _verified(pairs: DataFrame, docs: DataFrame, keyed: DataFrame, k: int) -> DataFrame:
+    """The pairs (a, b) that link, by their whole sets, made from the texts again."""
+    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    reps = keyed.select("node", "doc_id").join(nodes, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     bitmap = docs.sparkSession.sparkContext.broadcast(Bitmap(reps.select(F.xxhash64("doc_id"))))
 
     def make(batch):
         met = np.flatnonzero(bitmap.value.has(batch.column("h").to_numpy()))
-        ids = batch.column("doc_id").to_pylist()
-        texts = utf8(batch.take(met), "text") if len(met) else []
-        sets = [shingle_set(x, k) for x in texts]
-        return {"doc_id": [ids[i] for i in met], "n": [len(s) for s in sets], "vec": [count_vector(s).tobytes() for s in sets],
-                "shingles": [s.tobytes() for s in sets],
-                "node": [int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True) for s in sets]}
-
-    made = map_arrow(docs.select("doc_id", "text", F.xxhash64("doc_id").alias("h")), make,
-                     "doc_id long, node long, n long, vec binary, shingles binary")
-    one = made.join(reps.select("node", F.col("doc_id").alias("rep")), "node").where(F.col("doc_id").eqNullSafe(F.col("rep")))
-    return one.drop("rep")
-
+        if not len(met):
+            return None
+        sets = [shingle_set(x, k).tobytes() for x in utf8(batch.take(met), "text")]
+        return {"doc_id": batch.column("doc_id").take(met), "node": [node_of(x) for x in sets], "shingles": sets}
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) that link, by bound and then by whole sets."""
-    side = lambda c: sets.select(F.col("node").alias(c), F.col("vec").alias(f"v{c}"), F.col("shingles").alias(f"s{c}"))
+    made = map_arrow(docs.select("doc_id", "text", F.xxhash64("doc_id").alias("h")), make, "doc_id long, node long, shingles binary")
+    # A text that repeats with its doc_id is taken once; another text with the same doc_id has another node.
+    sets = (made.join(reps.select("node", F.col("doc_id").alias("rep")), "node").where(F.col("doc_id").eqNullSafe(F.col("rep")))
+            .select("node", "shingles").dropDuplicates(["node"]))
+    side = lambda c: sets.select(F.col("node").alias(c), F.col("shingles").alias(f"s{c}"))
 
     def check(batch):
-        a, b, va, vb, sa, sb = (batch.column(c).to_pylist() for c in ("a", "b", "va", "vb", "sa", "sb"))
-        ok = []
-        for i in range(len(a)):
-            x, y = np.frombuffer(va[i], np.int32), np.frombuffer(vb[i], np.int32)
-            m, least = min(len(x), len(y)), needed(len(sa[i]) // 8, len(sb[i]) // 8)
-            if np.minimum(fold(x, m), fold(y, m)).sum() >= least:
-                p, q = np.frombuffer(sa[i], np.uint64), np.frombuffer(sb[i], np.uint64)
-                if len(np.intersect1d(p, q, assume_unique=True)) >= least:
-                    ok.append(i)
+        a, b, x, y = (batch.column(c).to_pylist() for c in ("a", "b", "sa", "sb"))
+        ok = [i for i in range(len(a)) if len(np.intersect1d(np.frombuffer(x[i], np.uint64), np.frombuffer(y[i], np.uint64), assume_unique=True))
+              >= needed(len(x[i]) // 8, len(y[i]) // 8)]
         return {"a": [a[i] for i in ok], "b": [b[i] for i in ok]}
 
-    joined = pairs.join(side("b"), "b").join(side("a"), "a")
-    return map_arrow(joined.select("a", "b", "va", "vb", "sa", "sb"), check, "a long, b long")
+    return map_arrow(pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "sa", "sb"), check, "a long, b long")
 
 
 def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
-    """(node, comp) of all nodes with an edge (a, b): the smallest node reachable, by labels and pointer jumps."""
-    both = scratch.keep(edges.select("a", "b").union(edges.select(F.col("b"), F.col("a"))).distinct())
-    labels = scratch.keep(both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("node"), F.min("b")).alias("comp")))
+    """(node, comp) of all nodes with an edge (a, b); comp is one node of the component.
+
+    Every node goes to its smallest neighbour's smallest neighbour, the edges are drawn anew between where their ends
+    have gone, and those inside one place fall away: the edges shrink from round to round.
+    """
+    labels, here = None, scratch.keep(edges.select("a", "b").union(edges.select(F.col("b"), F.col("a"))).distinct())
     while True:
-        near = both.join(labels.select(F.col("node").alias("b"), "comp"), "b").groupBy(F.col("a").alias("node")).agg(F.min("comp").alias("near"))
-        step = labels.join(near, "node").select("node", F.col("comp").alias("old"), F.least("comp", "near").alias("comp"))
-        jump = labels.select(F.col("node").alias("comp"), F.col("comp").alias("root"))
-        step = scratch.keep(step.join(jump, "comp").select("node", "old", F.least("comp", "root").alias("comp")))
-        labels = step.select("node", "comp")
-        if step.where("old <> comp").isEmpty():
+        to = here.groupBy(F.col("a").alias("node")).agg(F.least(F.col("node"), F.min("b")).alias("to"))
+        jump = to.select(F.col("node").alias("to"), F.col("to").alias("far"))
+        to = scratch.keep(to.join(jump, "to").select("node", F.least("to", "far").alias("comp")))
+        if labels is None:
+            labels = to
+        else:
+            moved = to.select(F.col("node").alias("comp"), F.col("comp").alias("moved"))
+            labels = scratch.keep(labels.join(moved, "comp", "left").select("node", F.coalesce("moved", "comp").alias("comp")))
+        ends = (here.join(to.select(F.col("node").alias("a"), F.col("comp").alias("x")), "a")
+                .join(to.select(F.col("node").alias("b"), F.col("comp").alias("y")), "b"))
+        here = scratch.keep(ends.where("x <> y").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct())
+        if here.isEmpty():
             return labels
 
 
-def _block_pairs(members: DataFrame, tile: int) -> DataFrame:
-    """Pairs of different components that the R-trees of the blocks let through. members: key, node, comp, n, vec."""
-    sizes = members.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / tile).cast("int").alias("tiles"))
+def _forest(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Which of the pairs make a spanning forest, in their order."""
+    root: dict[int, int] = {}
+    keep = np.zeros(len(a), bool)
+
+    def find(x: int) -> int:
+        while root.setdefault(x, x) != x:
+            root[x] = x = root[root[x]]
+        return x
+
+    for i, (x, y) in enumerate(zip(a.tolist(), b.tolist(), strict=True)):
+        x, y = find(x), find(y)
+        if x != y:
+            root[max(x, y)], keep[i] = min(x, y), True
+    return keep
+
+
+def _block_pairs(members: DataFrame, vectors: DataFrame, tile: int, forest: bool) -> DataFrame:
+    """Pairs of different components that the R-trees of the blocks let through, or a forest of them in each tile.
+
+    members: pivot, node, comp, n.
+    """
+    # Rows of a block without a row of another component near their size leave before the vectors come in.
+    classes = members.withColumn("class", F.floor(F.log("n") / float(np.log(4 / 3)) + 1e-9))
+    wide = (classes.withColumn("class", F.explode(F.array(F.col("class") - 1, F.col("class"), F.col("class") + 1)))
+            .groupBy("pivot", "class").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("pivot", "class"))
+    near = classes.join(wide, ["pivot", "class"]).drop("class").join(vectors.select("node", "vec"), "node")
+    sizes = near.groupBy("pivot").agg(F.ceil(F.count(F.lit(1)) / tile).cast("int").alias("tiles"))
     own = F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int")
-    dealt = (members.join(sizes, "key").withColumn("own", own)
+    dealt = (near.join(sizes, "pivot").withColumn("own", own)
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-             .select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "comp", "n", "vec"))
+             .select(F.col("pivot").alias("key"), F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "comp", "n", "vec"))
 
     def block(rows: list) -> tuple[np.ndarray, np.ndarray]:
         node, comp, n, own = (np.array([r[k] for r in rows], np.int64) for k in (0, 1, 2, 3))
-        vecs = [np.frombuffer(r[4], np.int32) for r in rows]
-        m = min(map(len, vecs))
-        points = np.stack([fold(v, m) for v in vecs])
-        tree, steps = RTree(n, points), range(0, len(n), 256)
-        found = [tree.search(n[x : x + 256], points[x : x + 256]) for x in steps]
-        q, p = np.concatenate([f[0] + x for f, x in zip(found, steps, strict=True)]), np.concatenate([f[1] for f in found])
-        i, j = rows[0][5], rows[0][6]
-        ok = (node[q] < node[p]) & (comp[q] != comp[p]) & ((i == j) | (own[q] != own[p]))
-        return node[q][ok], node[p][ok]
+        vecs = [np.frombuffer(r[4], np.uint8) for r in rows]
+        classes, out = band(n), [(node[:0], node[:0])]
+        for c in np.unique(classes):
+            queries, points = np.flatnonzero(classes == c), np.flatnonzero((classes == c) | (classes == c + 1))
+            if len(points) < 2 or (comp[points] == comp[points[0]]).all():
+                continue
+            m = min(len(vecs[x]) for x in points)
+            folded = np.stack([fold(vecs[x], m) for x in points])
+            tree, asked = RTree(n[points], folded), np.searchsorted(points, queries)
+            for x in range(0, len(queries), 128):
+                q, p = tree.search(n[queries[x : x + 128]], folded[asked[x : x + 128]])
+                q, p = queries[q + x], points[p]
+                ok = (comp[q] != comp[p]) & ((rows[0][5] == rows[0][6]) | (own[q] != own[p])) & ((classes[p] > c) | (node[q] < node[p]))
+                a, b = np.minimum(node[q], node[p])[ok], np.maximum(node[q], node[p])[ok]
+                keep = _forest(a, b) if forest else slice(None)
+                out.append((a[keep], b[keep]))
+        a, b = (np.concatenate(x) for x in zip(*out, strict=True))
+        keep = _forest(a, b) if forest else slice(None)
+        return a[keep], b[keep]
 
     def run(batches):
         import pyarrow as pa
@@ -272,7 +321,7 @@ def _block_pairs(members: DataFrame, tile: int) -> DataFrame:
         if out_a:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), pa.int64()) for x in (out_a, out_b)], ["a", "b"])
 
-    return dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(run, "a long, b long").distinct()
+    return bounded(dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")).mapInArrow(run, "a long, b long").distinct()
 
 
 def ngram_join(docs: DataFrame, n: int = 5, tile: int = 1_000) -> DataFrame:
@@ -283,18 +332,15 @@ def ngram_join(docs: DataFrame, n: int = 5, tile: int = 1_000) -> DataFrame:
     keys = keyed.where("n > 0").select("node", F.explode("keys").alias("key"))
     shared = scratch.keep(keys.groupBy("key").agg(F.min("node").alias("pivot"), F.max("node").alias("last"))
                           .where("pivot <> last").select("key", "pivot"))
-    members = scratch.keep(_members(keyed, shared).select("key", "node", "pivot").distinct())
-    sets = scratch.keep(_sets(docs, keyed, members.select("node").distinct(), n))
-    best = (members.where("node <> pivot").groupBy("node", "pivot").agg(F.count(F.lit(1)).alias("c"))
-            .groupBy("node").agg(F.max_by("pivot", F.struct("c", "pivot")).alias("pivot")))
-    first = scratch.keep(_verified(best.select(F.col("pivot").alias("a"), F.col("node").alias("b")), sets))
+    members = scratch.keep(_members(keyed, shared))
+    vectors = scratch.keep(keyed.join(members.select("node").distinct(), "node", "left_semi").select("node", "n", "vec").dropDuplicates(["node"]))
+    blocks = members.join(vectors.select("node", "n"), "node")
+    first = scratch.keep(_verified(scratch.keep(_block_pairs(blocks.withColumn("comp", F.col("node")), vectors, tile, True)), docs, keyed, n))
     comps = components(first, scratch)
-    placed = members.select("key", "node").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    open_keys = placed.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("key")
-    open_rows = placed.join(open_keys, "key").join(sets.select("node", "n", "vec"), "node")
-    more = scratch.keep(_verified(_block_pairs(open_rows.select("key", "node", "comp", "n", "vec"), tile), sets))
-    if not more.isEmpty():
-        comps = components(first.unionByName(more), scratch)
+    placed = blocks.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    pairs = scratch.keep(_block_pairs(placed, vectors, tile, False))
+    if not pairs.isEmpty():
+        comps = components(first.unionByName(_verified(pairs, docs, keyed, n)), scratch)
     rows = keyed.select("doc_id", "n", "node").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     names = rows.where("n > 0").groupBy("comp").agg(F.min("doc_id").alias("first_id"))
     return rows.join(names, "comp", "left").select(
