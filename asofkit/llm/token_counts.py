@@ -4,8 +4,8 @@ A text's key is the digest of its content and of the tokenizer file. Known keys
 of the others each distinct text is encoded once and its count appended to the cache (Parquet files in a shared
 folder), then all documents get their counts by a join on the key.
 
-To encode one text per key, a key's rows are combined before the shuffle (first text by key), so a third of all rows
-with one text costs one row per task. Counting follows the file's own pre-tokenizer: pieces of a text are counted by
+Which row's text stands for a key is found on keys alone, combined before the shuffle, so a third of all rows with one
+text costs one row per task. Counting follows the file's own pre-tokenizer: pieces of a text are counted by
 the tokenizers library's model once per worker and remembered (bounded), as merges never cross pieces.
 
 Defined results: null counts as empty (0 bytes, 0 tokens). Rows that repeat are counted one for one. An empty table
@@ -88,10 +88,11 @@ def token_counts(docs: DataFrame, tokenizer: str, cache: str) -> DataFrame:
     body = F.coalesce("text", F.lit(""))
     rows = docs.select("doc_id", F.octet_length(body).cast("long").alias("n_bytes"), F.unhex(F.sha2(body, 256)).alias("content"), body.alias("text"))
     stored = read_cache(spark, cache, version)
-    # Keys first, without texts: what is not in the cache, and the one row whose text will be encoded.
-    missing = rows.groupBy("content").agg(F.min("doc_id").alias("doc_id")).join(stored, "content", "left_anti")
-    chosen = Scratch(spark).keep(missing.select("content", F.col("doc_id").alias("chosen")))
-    misses = rows.select("content", "doc_id", "text").join(chosen, "content").where(F.col("doc_id").eqNullSafe(F.col("chosen")))
+    # Keys first, without texts: what is not in the cache, and the one row whose text will be encoded. Joined on both, so
+    # copies of one text are spread; rows that repeat with their doc_id meet in one place and are combined there.
+    rows = rows.withColumn("chosen", F.coalesce("doc_id", F.lit(-(1 << 63))))
+    missing = rows.groupBy("content").agg(F.min("chosen").alias("chosen")).join(stored, "content", "left_anti")
+    misses = rows.select("content", "chosen", "text").join(Scratch(spark).keep(missing), ["content", "chosen"]).dropDuplicates(["content", "chosen"])
 
     def encode(batch):
         c = counter(source.value)
