@@ -47,32 +47,29 @@ def copies(docs: DataFrame, id: str = "doc_id", text: str = "text", head: int =
 
 
 def marked(docs: DataFrame, id: str = "doc_id", text: str = "text", head: int = HEAD, carry: list[str] | None = None) -> DataFrame:
-    """The columns ``carry`` of every row (all if None), and _hash (null if settled before), _keep_id, _size, _kept, _at_top.
+    """A row per row: row (a struct of the columns ``carry``, all if None), hash (null if settled before), keep_id,
+    group_size, kept, at_top (rows of its group with keep_id).
 
     The whole text is hashed again only for rows whose length and beginning belong to a group.
     """
     groups = copies(docs, id, text, head)
-    length, start = _keys(text, head)
     heads = groups.select("_len", "_head", F.lit(True).alias("_open")).distinct()
-    names = docs.columns if carry is None else carry
-    need = list(dict.fromkeys([*names, id, text]))
-    open_rows = docs.select(*need, length, start).join(heads, ["_len", "_head"], "left")
-    hashed = open_rows.withColumn("_hash", F.when(F.col("_open"), F.unhex(F.sha2(_body(text), 256))))
-    keep = list(dict.fromkeys([*names, id]))
-    out = hashed.select(*keep, "_len", "_head", "_hash").join(groups, ["_len", "_head", "_hash"], "left")
+    row = F.struct(*(docs.columns if carry is None else carry)).alias("row")
+    found = docs.select(row, F.col(id).alias("_id"), _body(text).alias("_text"), *_keys(text, head)).join(heads, ["_len", "_head"], "left")
+    hashed = found.select("row", "_id", "_len", "_head", F.when(F.col("_open"), F.unhex(F.sha2("_text", 256))).alias("_hash"))
+    out = hashed.join(groups, ["_len", "_head", "_hash"], "left")
     in_group = F.col("_size").isNotNull()
     return out.select(
-        *keep, "_hash", F.when(in_group, F.col("_keep_id")).otherwise(F.col(id)).alias("_keep_id"),
-        F.coalesce("_size", F.lit(1)).alias("_size"), (~in_group | F.col(id).eqNullSafe(F.col("_keep_id"))).alias("_kept"),
-        F.coalesce("_at_top", F.lit(1)).alias("_at_top"))
+        "row", F.col("_hash").alias("hash"), F.when(in_group, F.col("_keep_id")).otherwise(F.col("_id")).alias("keep_id"),
+        F.coalesce("_size", F.lit(1)).alias("group_size"), (~in_group | F.col("_id").eqNullSafe(F.col("_keep_id"))).alias("kept"),
+        F.coalesce("_at_top", F.lit(1)).alias("at_top"))
 
 
 def kept_rows(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows that stay, one of each text, with the columns of ``docs``."""
-    rows = marked(docs, id, text)
-    once = rows.where("_kept and _at_top = 1").select(*docs.columns)
-    again = rows.where("_kept and _at_top > 1").dropDuplicates(["_hash", id]).select(*docs.columns)
-    return once.unionByName(again)
+    rows = marked(docs, id, text).where("kept")
+    again = rows.where("at_top > 1").dropDuplicates(["hash"])
+    return rows.where("at_top = 1").unionByName(again).select("row.*")
 
 
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,7 +78,7 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     # The digest is a column of the report alone: the operator hashes only what its first two steps leave open.
     digested = docs.withColumn("text_sha256", F.sha2(_body("text"), 256))
     return marked(digested, carry=["doc_id", "text_sha256"]).select(
-        "doc_id", F.col("_keep_id").alias("keep_id"), F.col("_size").alias("group_size"), F.col("_kept").alias("kept"), "text_sha256")
+        "row.doc_id", "keep_id", "group_size", "kept", "row.text_sha256")
 
 
 OP5_SQL = """
