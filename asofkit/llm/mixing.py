@@ -81,11 +81,11 @@ def position(share: Column, weight_class: Column, schedules: dict = SCHEDULES) -
 
 def streams(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "source", most: int = 3,
             bucket_rows: int = 20_000, carry: list[str] | None = None) -> DataFrame:
-    """The columns ``carry`` of every row (all if None), and _size, _source_size, _class, _target, _before (words before
+    """A row per row: row (a struct of the columns ``carry``, all if None), _size, _source_size, _class, _target, _before (words before
     it in its source's stream), _ties (rows equal to it) and _taken."""
     scratch = Scratch(docs.sparkSession)
     names = docs.columns if carry is None else carry
-    rows = docs.select(*[F.col(c).alias(f"c_{i}") for i, c in enumerate(names)], F.col(source).alias("_source"),
+    rows = docs.select(F.struct(*names).alias("row"), F.col(source).alias("_source"),
                        sizes(text).alias("_size"), order_key(id, text).alias("_key"))
     if carry is not None:
         rows = scratch.keep(rows)
@@ -110,7 +110,7 @@ def streams(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str
     rounds = F.when(F.col("_source_size") > 0, F.floor(target / F.col("_source_size")).cast("long")).otherwise(0)
     rest = target - rounds * F.col("_source_size")
     part = F.floor(F.greatest(F.lit(0), F.least(rest - start, group)) / F.col("_ties")).cast("long")
-    return full.select(*[F.col(f"c_{i}").alias(c) for i, c in enumerate(names)], "_size", "_source_size", "_class", "_target", start, "_ties",
+    return full.select("row", "_size", "_source_size", "_class", "_target", start, "_ties",
                        (rounds * size + part).alias("_taken"), rounds.alias("_rounds"))
 
 
@@ -129,15 +129,15 @@ def occurrences(mixed: DataFrame, schedules: dict = SCHEDULES, cut: bool = True)
     return each.withColumn("_words", words).withColumn("_position", position(F.least(share, F.lit(1.0)), F.col("_class"), schedules))
 
 
-def in_training_order(rows: DataFrame, id: str = "doc_id") -> DataFrame:
+def in_training_order(rows: DataFrame, id: str = "doc_id", position: str = "_position") -> DataFrame:
     """Range-sorted by position: file after file is the training order."""
-    return rows.repartitionByRange("_position", id).sortWithinPartitions("_position", id)
+    return rows.repartitionByRange(position, id).sortWithinPartitions(position, id)
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every row of documents: the words that the mix takes of it, and the position at which it is first taken."""
     mixed = streams(table(spark, sf_dir, "documents"), carry=["doc_id", "source"])
     first = F.when(F.col("_taken") > 0, position((F.col("_before") + F.least("_size", "_taken") / 2) / F.col("_target"), F.col("_class")))
-    rows = mixed.select("doc_id", F.col("_size").alias("size"), F.col("_source_size").alias("source_size"), F.col("_target").alias("target"),
+    rows = mixed.select("row.doc_id", F.col("_size").alias("size"), F.col("_source_size").alias("source_size"), F.col("_target").alias("target"),
                         F.col("_taken").alias("taken"), first.alias("_position"))
     return in_training_order(rows).withColumnRenamed("_position", "first_position")

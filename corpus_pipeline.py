@@ -36,7 +36,7 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Op 8: a document's row for each time that it is taken whole, in training order."""
-    return mixing.in_training_order(mixing.occurrences(mixing.streams(docs), cut=False)).select(*docs.columns)
+    return mixing.in_training_order(mixing.occurrences(mixing.streams(docs), cut=False), "row.doc_id").select("row.*")
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
