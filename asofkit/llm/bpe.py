@@ -29,7 +29,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from asofkit.llm.common import strings, table
+from asofkit.llm.common import bounded, strings, table
 
 #: White space as the tokenizers library has it (Unicode White_Space).
 _SPACE = regex.compile(r"[\t-\r\x20\x85\xa0  -     　]+")
@@ -221,7 +221,7 @@ def bpe_encode(docs: DataFrame, vocabulary: str, text: str = "text", ids: str =
 
     with open(vocabulary, encoding="utf-8") as f:
         source = docs.sparkSession.sparkContext.broadcast(f.read())
-    new = [StructField(ids, ArrayType(LongType(), False))] + [StructField(decoded, StringType())] * bool(decoded)
+    new = [StructField(ids, ArrayType(LongType(), False))] + ([StructField(decoded, StringType())] if decoded else [])
     clash = {f.name.lower() for f in docs.schema} & {f.name.lower() for f in new}
     if clash:
         raise ValueError(f"columns {sorted(clash)} exist: name the result columns otherwise")
@@ -241,7 +241,7 @@ def bpe_encode(docs: DataFrame, vocabulary: str, text: str = "text", ids: str =
                     cols.append(pa.array([decoder.decode(c).decode() for c in coded], pa.string()))
                 yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(cols, arrow, strict=True)], schema=arrow)
 
-    return docs.mapInArrow(run, schema)
+    return bounded(docs).mapInArrow(run, schema)
 
 
 def with_digests(encoded: DataFrame, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
@@ -257,7 +257,7 @@ def with_digests(encoded: DataFrame, ids: str = "ids", decoded: str = "decoded")
                 pa.array([hashlib.sha256(t.encode()).hexdigest() for t in texts], pa.string()),
             ], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return encoded.select("doc_id", ids, decoded).mapInArrow(digest, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return bounded(encoded.select("doc_id", ids, decoded)).mapInArrow(digest, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def op2_bpe(spark: SparkSession, sf_dir: str, vocabulary: str = "word_bpe_49k.json") -> DataFrame:

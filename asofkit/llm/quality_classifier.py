@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from asofkit.llm.common import SPACES, map_arrow, table, utf8
+from asofkit.llm.common import SPACES, bounded, map_arrow, table, utf8
 from asofkit.llm.quality_rules import repeated_words
 
 BUCKETS = 1 << 14
@@ -206,7 +206,7 @@ def kept_rows(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
         for batch in batches:
             yield batch.filter(pa.array([shared.value.score(t) >= shared.value.threshold for t in utf8(batch, text)], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return bounded(docs).mapInArrow(run, docs.schema)
 
 
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
