@@ -1,7 +1,9 @@
-"""What ``queries`` computes, as SQL over the same tables. No entry: ``quality_approx``, whose counts are sketches."""
+"""What ``queries`` computes, as SQL over the same tables."""
 
 from __future__ import annotations
 
+import re
+
 from asofkit.functions.codes import SKY_PREFIXES, WEATHER_CODES
 
 FLIGHTS = (
@@ -275,6 +277,14 @@ QUALITY = CLEAN + (
     " count(DISTINCT AirportId), NULL, count(DISTINCT WBAN) FROM sm"
 )
 
+
+def quality_close() -> str:
+    """The exact counts, each with a flag that holds wherever there is a count."""
+    counts = re.findall(r"AS ((?:rows|non_null_\w+|distinct_\w+))", QUALITY.partition("'flight_clean' AS dataset")[2].partition(" UNION ALL ")[0])
+    flags = ", ".join(f"CASE WHEN {c} IS NOT NULL THEN true END AS close_{c}" for c in counts)
+    return f"SELECT *, {flags} FROM ({QUALITY})"
+
+
 ALL = {
     "asof_latest": (
         f"WITH {FLIGHTS}, {OBS} SELECT f.event_id, CASE WHEN o.ots >= f.ts - INTERVAL 12 HOUR THEN o.obs_id END"
@@ -288,15 +298,16 @@ ALL = {
     ),
     "asof_lags7": lag_rows(7),
     "asof_hot_keys": lag_rows(7, **folded("ts", 3)),
+    "asof_many_segments": lag_rows(7, **folded("ts", 1)),
     "asof_hot_instants": lag_rows(3, hours=24, **folded("day", 2)),
     "interval_join_pairs": (
         f"WITH {FLIGHTS}, {OBS} SELECT f.event_id, o.obs_id FROM flights f LEFT JOIN obs o ON o.user_id = f.user_id"
         " AND o.ots <= f.ts AND o.ots >= f.ts - INTERVAL 12 HOUR"
     ),
     "time_pruned_scan": (
-        "WITH b AS (SELECT min(l_shipdate) - INTERVAL 12 HOUR AS lo, max(l_shipdate) AS hi FROM lineitem"
-        " WHERE l_quantity >= 50 AND l_discount >= 0.1) SELECT o_orderkey, epoch_us(o_orderdate) AS order_us"
-        " FROM orders WHERE o_orderdate BETWEEN (SELECT lo FROM b) AND (SELECT hi FROM b)"
+        "WITH b AS (SELECT min(o_orderdate) - INTERVAL 12 HOUR AS lo, max(o_orderdate) AS hi FROM orders)"
+        " SELECT l_orderkey, l_linenumber::BIGINT AS l_linenumber, epoch_us(l_shipdate) AS ship_us"
+        " FROM lineitem WHERE l_shipdate BETWEEN (SELECT lo FROM b) AND (SELECT hi FROM b)"
     ),
     "lag_flatten": LAG_FLATTEN,
     "lag_stats": LAG_STATS,
@@ -312,6 +323,7 @@ ALL = {
     ),
     "arrival_times": (
         "SELECT event_id, epoch_us(ts + to_seconds(trunc(value * 60)::BIGINT)) AS arr_us,"
+        " epoch_us(ts + to_seconds(trunc(value * 10000000.0 * 60)::BIGINT)) AS far_us,"
         " epoch_us(ts - INTERVAL 12 HOUR) AS from_us FROM events"
     ),
     "sky_features": SKY_FEATURES,
@@ -363,6 +375,7 @@ ALL = {
         " UNION ALL SELECT 'customer', count(*), NULL, NULL, NULL FROM customer"
     ),
     "quality_exact": QUALITY,
+    "quality_approx": quality_close(),
     "month_counts": "SELECT strftime(o_orderdate, '%Y-%m') AS month, count(*) AS n FROM orders GROUP BY 1",
     "month_count_files": "SELECT strftime(l_shipdate, '%Y-%m') AS month, count(*) AS n FROM lineitem GROUP BY 1",
     "capped_table_rows": (

@@ -62,6 +62,16 @@ def asof_hot_keys(spark: SparkSession, d: str) -> DataFrame:
         "event_id", F.col("k").cast(LONG).alias("k"), F.col("o.obs_id").alias("obs_id"))
 
 
+def asof_many_segments(spark: SparkSession, d: str) -> DataFrame:
+    """J5 on one key that holds all rows, cut thousands of times; more cuts than any number of shuffle partitions."""
+    def fold(df):
+        return df.withColumn("user_id", F.lit(0).cast(LONG))
+    m = asof_lags(fold(purchases(spark, d)), fold(observations(spark, d)), by="user_id", left_ts="ts",
+                  right_ts="ts", lags=7, payload=["obs_id"], tie_break=["obs_id"], out="w", segment_rows=5)
+    return m.select("event_id", F.posexplode("w").alias("k", "o")).select(
+        "event_id", F.col("k").cast(LONG).alias("k"), F.col("o.obs_id").alias("obs_id"))
+
+
 def asof_hot_instants(spark: SparkSession, d: str) -> DataFrame:
     """J5 on two keys whose times are cut to days: every group is made of ties and spans several cuts."""
     def fold(df):
@@ -82,11 +92,10 @@ def interval_join_pairs(spark: SparkSession, d: str) -> DataFrame:
 
 
 def time_pruned_scan(spark: SparkSession, d: str) -> DataFrame:
-    """Orders within the span of shipped line items of large quantity."""
-    lines = table(spark, d, "lineitem").where("l_quantity >= 50 AND l_discount >= 0.1")
-    bounds = time_bounds(lines, "l_shipdate", hours_before=12)
-    return within(table(spark, d, "orders"), "o_orderdate", bounds).select(
-        "o_orderkey", us("o_orderdate").alias("order_us"))
+    """Line items shipped within the span of all orders; later shipments fall out."""
+    bounds = time_bounds(table(spark, d, "orders"), "o_orderdate", hours_before=12)
+    return within(table(spark, d, "lineitem"), "l_shipdate", bounds).select(
+        "l_orderkey", F.col("l_linenumber").cast(LONG).alias("l_linenumber"), us("l_shipdate").alias("ship_us"))
 
 
 def lag_flatten(spark: SparkSession, d: str) -> DataFrame:
@@ -152,9 +161,10 @@ def presence_and_default(spark: SparkSession, d: str) -> DataFrame:
 
 
 def arrival_times(spark: SparkSession, d: str) -> DataFrame:
-    """C9, C10 on all events."""
+    """C9, C10 on all events; once with elapsed times of centuries."""
     e = table(spark, d, "events")
     return e.select("event_id", us(clock.add_minutes(F.col("ts"), F.col("value"))).alias("arr_us"),
+                    us(clock.add_minutes(F.col("ts"), F.col("value") * 10_000_000.0)).alias("far_us"),
                     us(clock.add_hours(F.col("ts"), -12)).alias("from_us"))
 
 
@@ -373,8 +383,17 @@ def quality_exact(spark: SparkSession, d: str) -> DataFrame:
 
 
 def quality_approx(spark: SparkSession, d: str) -> DataFrame:
-    """Z5, A4, A5 with sketched distinct counts, as the job does; close to ``quality_exact``, not equal."""
-    return _quality(spark, d, False)
+    """Z5, A4, A5 with sketched distinct counts, as the job does: beside each exact count, whether the sketch is within
+    three times its stated error (5 %), or within 2 for small counts."""
+    exact, approx = _quality(spark, d, True), _quality(spark, d, False)
+    counts = [c for c in exact.columns if c != "dataset"]
+    both = exact.alias("e").join(approx.alias("a"), F.col("e.dataset") == F.col("a.dataset"))
+
+    def close(c: str) -> Column:
+        e, a = F.col(f"e.{c}"), F.col(f"a.{c}")
+        return (F.abs(e - a) <= F.greatest(F.lit(2.0), 0.15 * e)) if c.startswith("distinct_") else e == a
+
+    return both.select("e.dataset", *[F.col(f"e.{c}").alias(c) for c in counts], *[close(c).alias(f"close_{c}") for c in counts])
 
 
 def month_counts(spark: SparkSession, d: str) -> DataFrame:
@@ -418,5 +437,5 @@ ALL = (
     sky_features, weather_scores, flag_filter, clean_flights, clean_station_map, allowed_keys, clean_weather,
     restrict_and_attach, dedup_subset, top_n_newest, collect_newest, shaped_columns, picked_features,
     enrich_two_sided, enrich_hot, enrich_zone_shift, enrich_single, flat_features, quality_counts, quality_exact,
-    quality_approx, month_counts, month_count_files, capped_table_rows, pipeline_month,
+    quality_approx, asof_many_segments, month_counts, month_count_files, capped_table_rows, pipeline_month,
 )

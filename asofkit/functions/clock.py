@@ -5,9 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# timestamps this far from their base are nonsense; adding more could leave the calendar and raise
-_MAX_SHIFT_SECONDS = 10_000_000_000
-
 
 def iso_date(c: Column) -> Column:
     """``yyyy-MM-dd`` text to date, else NULL."""
@@ -35,10 +32,9 @@ def wall_clock(date: Column, hhmm: Column) -> Column:
 
 
 def add_minutes(ts: Column, minutes: Column) -> Column:
-    """``ts`` plus minutes, cut to whole seconds; keeps the timestamp type."""
-    seconds = (minutes.cast("double") * 60).try_cast("bigint")
-    safe = F.when(F.abs(seconds) < _MAX_SHIFT_SECONDS, seconds)
-    return F.timestamp_add("SECOND", safe, ts)
+    """``ts`` plus minutes, cut to whole seconds; keeps the timestamp type. NULL where the sum leaves the calendar."""
+    seconds = (minutes.cast("double") * 60).try_cast("bigint").try_cast("decimal(18,6)")
+    return F.try_add(ts, F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds))
 
 
 def add_hours(ts: Column, hours: Column | int) -> Column:
@@ -61,4 +57,4 @@ def micros(ts: Column, zoneless: bool) -> Column:
 
 def month(c: Column) -> Column:
     """``yyyy-MM`` of a date or timestamp."""
-    return F.date_format(c, "yyyy-MM")
+    return F.date_format(c.cast("date"), "yyyy-MM")  # as a date no session zone can move it

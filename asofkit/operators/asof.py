@@ -9,8 +9,8 @@ Hot keys. A key is only one group as long as it is small. Larger ones are cut in
 row count, so a key, a day or an instant that holds a third of all rows spreads over many tasks:
 
 * Cut points come from a sample of (key, time), as in Spark's own range sort. They decide only which task does
-  the work, never the result. There are at most ``pieces`` of them, a number bound to the shuffle partitions, so
-  they may be held on the driver and broadcast.
+  the work, never the result. Their number is that of rows / ``segment_rows``, about 24 bytes each (a few MB for
+  1e11 rows), so the driver may hold them; they are broadcast below the session's threshold, else joined by shuffle.
 * A segment starts with the last N observations before it ("carry"). These are found among the last N of each
   earlier segment, N x pieces rows at most, without moving the rest.
 * An instant that spans several cut points cannot be cut by time. Of its observations only the N that rank
@@ -19,11 +19,12 @@ row count, so a key, a day or an instant that holds a third of all rows spreads
 * Left rows without key or time match nothing and are dealt over salts likewise.
 
 Salts are built from the row's hash and its input partition: identical copies in different input partitions part,
-and a task that is run again deals the same.
+and a task that is run again deals the same, as long as it reads the same input partition again.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -72,16 +73,18 @@ def _complete(columns: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
 
 
-def find_splits(points: DataFrame, keys: Sequence[str], segment_rows: int, max_pieces: int | None) -> Splits | None:
+def find_splits(points: DataFrame, keys: Sequence[str], segment_rows: int, max_pieces: int | None,
+                total: int | None = None) -> Splits | None:
     """Cut points for the keys that hold more than their share of ``points`` (columns: keys and ``_t``).
 
-    None when everything is small enough for whole keys. Reads the key and time columns only.
+    None when everything is small enough for whole keys. Reads the key and time columns only. ``max_pieces`` is the
+    caller's own limit of pieces, which makes segments longer; ``total`` saves counting rows that are counted already.
     """
     spark = points.sparkSession
-    if max_pieces is None:
-        max_pieces = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    total = points.count()
-    pieces = min(ceil(total / segment_rows), max_pieces)
+    total = points.count() if total is None else total
+    pieces = ceil(total / segment_rows)
+    if max_pieces is not None:
+        pieces = min(pieces, max_pieces)
     if pieces <= 1:
         return None
     fraction = min(1.0, _SAMPLE_PER_PIECE * pieces / total)
@@ -105,6 +108,16 @@ def find_splits(points: DataFrame, keys: Sequence[str], segment_rows: int, max_p
     )
 
 
+_BYTES_PER_CUT = 24
+_UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
+
+
+def _broadcastable(splits: Splits) -> bool:
+    """Whether the cut points stay below the size up to which the session broadcasts."""
+    digits, unit = re.fullmatch(r"(-?\d+)([a-z]*)", splits.frame.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold").lower()).groups()
+    return splits.pieces * _BYTES_PER_CUT <= int(digits) * _UNITS[unit]
+
+
 def _segmented(df: DataFrame, keys: Sequence[str], splits: Splits) -> DataFrame:
     """Add ``_seg`` (cut points at or before ``_t``), ``_end`` (the next one) and ``_deal`` (salts of a hot
     instant, else NULL)."""
@@ -121,7 +134,7 @@ def _segmented(df: DataFrame, keys: Sequence[str], splits: Splits) -> DataFrame:
     )
     last, mult = F.get("_cuts", F.col("_seg") - 1), F.get("_mult", F.col("_seg") - 1)
     return (
-        df.join(F.broadcast(splits.frame), list(keys), "left")  # at most `pieces` rows and cuts in all
+        df.join(F.broadcast(splits.frame) if _broadcastable(splits) else splits.frame, list(keys), "left")
         .withColumn("_seg", F.when(F.col("_cuts").isNull(), 0).otherwise(rank))
         .withColumns({
             "_end": F.get("_cuts", F.col("_seg")),
@@ -211,6 +224,7 @@ def asof_lags(
     segment_rows: int = SEGMENT_ROWS,
     max_pieces: int | None = None,
     measure: DataFrame | None = None,
+    total: int | None = None,
 ) -> DataFrame:
     """Attach to each left row the last ``lags`` right rows at or before ``left_ts`` with the same key.
 
@@ -220,7 +234,8 @@ def asof_lags(
     Unmatched left rows get an empty array or a NULL struct, with ``legacy_unmatched`` an all-NULL struct instead.
 
     Starts one count over both inputs, and one sample of them when they exceed ``segment_rows``. Where ``left``
-    is costly to make, ``measure`` may name a table with the same keys and times to count in its place.
+    is costly to make, ``measure`` may name a table with about the same keys and times to count in its place; where
+    the number of rows of both is known, ``total`` saves the count.
     """
     if lags < 0:
         raise ValueError(f"lags must not be negative: {lags}")
@@ -235,7 +250,7 @@ def asof_lags(
     obs = _keyed(right.where(_complete([*right_by, right_ts])), right_by, right_ts)
     measured = probes if measure is None else _keyed(measure, by, left_ts)
     splits = find_splits(
-        measured.select(*keys, "_t").unionByName(obs.select(*keys, "_t")), keys, segment_rows, max_pieces
+        measured.select(*keys, "_t").unionByName(obs.select(*keys, "_t")), keys, segment_rows, max_pieces, total
     )
 
     obs = obs.select(*keys, "_t", F.struct(

@@ -56,6 +56,7 @@ def enrich(
     zones: DataFrame | None = None,
     legacy_unmatched: bool = False,
     segment_rows: int = SEGMENT_ROWS,
+    max_pieces: int | None = None,
 ) -> DataFrame:
     """One row per flight with ``weather_origin`` and ``weather_dest`` (array<struct>, newest first), or with
     ``lags`` = 0 ``weather_origin_single`` and ``weather_dest_single`` (struct).
@@ -72,6 +73,8 @@ def enrich(
     )
     ties = [c for c in tie_break if c in observations.columns]
     df, kind = timed, "" if lags else "_single"
+    # Both joins see as many rows; where they are cut is measured without the zones' joins, as cuts never change results.
+    total, plain = flights.count() + observations.count(), with_arrival(flights)
     for side, key, ts in (
         ("origin", "ORIGIN_AIRPORT_ID", "CRS_DEP_TIMESTAMP"),
         ("dest", "DEST_AIRPORT_ID", "CRS_ARR_TIMESTAMP"),
@@ -79,7 +82,8 @@ def enrich(
         df = asof_lags(
             df, observations, by=key, right_by="apt_id", left_ts=ts, right_ts="w_ts", tolerance_hours=hours,
             lags=lags, payload=names, tie_break=ties, out=f"weather_{side}{kind}",
-            legacy_unmatched=legacy_unmatched, segment_rows=segment_rows, measure=timed,
+            legacy_unmatched=legacy_unmatched, segment_rows=segment_rows, max_pieces=max_pieces, measure=plain,
+            total=total,
         )
     present = [c for c in OPTIONAL if c in df.columns]
     return df.select(*OUTPUT_ORDER, *present, f"weather_origin{kind}", f"weather_dest{kind}")

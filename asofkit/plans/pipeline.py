@@ -49,6 +49,7 @@ class PipelineConfig:
     flat: bool = False
     month_report: bool = False
     segment_rows: int = SEGMENT_ROWS
+    max_pieces: int | None = None
 
     def __post_init__(self):
         if self.mode not in MODES:
@@ -130,7 +131,7 @@ def join(spark: SparkSession, config: PipelineConfig) -> DataFrame:
             read_table(spark, paths.flights, config.fmt),
             read_table(spark, paths.weather, config.fmt),
             hours=config.hours, lags=config.lags, zones=zones,
-            legacy_unmatched=config.legacy_unmatched, segment_rows=config.segment_rows,
+            legacy_unmatched=config.legacy_unmatched, segment_rows=config.segment_rows, max_pieces=config.max_pieces,
         ),
         paths.joined(config.lags), config.fmt, MAX_RECORDS_PER_FILE,
     )

@@ -55,8 +55,11 @@ def input_globs(flights_dir: str, weather_dir: str, month: str | None = None) ->
 
 
 def read_text_table(spark: SparkSession, path: str) -> DataFrame:
-    """Comma-separated text with a header, every column a string; nothing is inferred."""
-    return spark.read.option("header", True).option("inferSchema", False).csv(path)
+    """Comma-separated text with a header, every column a string; nothing is inferred.
+
+    A file whose header differs from the first one's raises, instead of being read by position.
+    """
+    return spark.read.option("header", True).option("inferSchema", False).option("enforceSchema", False).csv(path)
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:

@@ -204,3 +204,34 @@ def test_interval_join_matches_brute_force(spark, seed, keys, segment_rows):
         for w, tie, v in near or [(None, None, None)]:
             want[(i, k, t, w, tie, v)] += 1
     assert Counter(tuple(r[c] for c in ("id", "k", "t", "w", "tie", "v")) for r in got.collect()) == want
+
+
+@pytest.mark.parametrize("partitions", ["8", "200"])
+def test_segments_stay_near_segment_rows(spark, partitions):
+    """One key holds all rows: how far it is cut follows from the rows alone, not from the session."""
+    from pyspark.sql import functions as F
+
+    from asofkit.operators.asof import _segmented, find_splits
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        points = spark.range(20_000).select(F.lit(1).alias("_k0"), F.timestamp_seconds(F.col("id")).cast("timestamp_ntz").alias("_t"))
+        splits = find_splits(points, ["_k0"], segment_rows=10, max_pieces=None)
+        assert splits.pieces == 2_000 and splits.most_cuts > 1_000
+        largest = _segmented(points, ["_k0"], splits).groupBy("_seg").count().agg(F.max("count")).first()[0]
+        assert largest <= 40
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_hot_enrichment_is_cut(spark):
+    """The frame of the query enrich_hot, at its segment_rows, has cuts under any number of shuffle partitions."""
+    from asofkit.checks.standins import raw_flights
+    from asofkit.operators.asof import _keyed, find_splits
+    from asofkit.plans import cleaning
+    from asofkit.plans.enrich import with_arrival
+
+    flights = with_arrival(cleaning.clean_flights(raw_flights(spark, "/root/testdata/sf0.001")))
+    points = _keyed(flights, ["ORIGIN_AIRPORT_ID"], "CRS_DEP_TIMESTAMP").select("_k0", "_t")
+    assert find_splits(points, ["_k0"], segment_rows=20, max_pieces=None).pieces > 1

@@ -43,18 +43,6 @@ def test_query_equals_oracle(spark, duck, name):
     assert got == want, f"only Spark: {list((got - want).items())[:3]}\nonly SQL: {list((want - got).items())[:3]}"
 
 
-def test_approximate_counts_are_close(spark):
-    exact, approx = (
-        {r["dataset"]: r.asDict() for r in entry.queries()[q](spark, SF_DIR).collect()}
-        for q in ("quality_exact", "quality_approx"))
-    for dataset, row in exact.items():
-        for c, v in row.items():
-            if c.startswith("distinct_") and v is not None:
-                assert abs(approx[dataset][c] - v) <= max(2, 0.15 * v)
-            else:
-                assert approx[dataset][c] == v
-
-
-def test_every_query_but_one_has_an_oracle():
+def test_every_query_has_an_oracle():
     own = {q for q in entry.queries() if q not in entry.LLM_QUERIES and q != "pipeline"}
-    assert own - set(entry.oracle_sql()) == {"quality_approx"}
+    assert own <= set(entry.oracle_sql())
