@@ -120,12 +120,29 @@ class Tagger:
             out[:, i], cells[:, i], gates[:, i] = a, c, g
         return out, cells, gates
 
-    def emissions(self, x: np.ndarray, keep: bool = False):
+    def emissions(self, x: np.ndarray) -> np.ndarray:
+        """Emissions of many windows, in single precision; what goes into the gates is one table row per symbol."""
+        n, t, h = len(x), x.shape[1], self.hidden
+        both = np.empty((n, t, 2 * h), np.float32)
+        with np.errstate(over="ignore"):
+            for d, order in (("f", range(t)), ("b", range(t - 1, -1, -1))):
+                table = (self.p["emb"] @ self.p[f"x{d}"] + self.p[f"c{d}"]).astype(np.float32)
+                again = self.p[f"h{d}"].astype(np.float32)
+                a, c = np.zeros((n, h), np.float32), np.zeros((n, h), np.float32)
+                for i in order:
+                    z = table[x[:, i]] + a @ again
+                    g = 1 / (1 + np.exp(-z[:, : 3 * h]))  # forget, input, output
+                    c = g[:, :h] * c + g[:, h : 2 * h] * np.tanh(z[:, 3 * h :])
+                    a = g[:, 2 * h :] * np.tanh(c)
+                    both[:, i, h * (d == "b") : h * (1 + (d == "b"))] = a
+        return both @ self.p["out"].astype(np.float32) + self.p["bias"].astype(np.float32)
+
+    def _forward(self, x: np.ndarray):
         e = self.p["emb"][x]
         f, b = self._lstm(e, "f"), self._lstm(e, "b")
         both = np.concatenate([f[0], b[0]], 2)
         em = both @ self.p["out"] + self.p["bias"]
-        return (em, (e, f, b, both)) if keep else em
+        return em, (e, f, b, both)
 
     def _scores(self):
         return np.where(self.allowed, self.p["trans"], -1e4), np.where(np.arange(LABELS) >= 0, self.p["first"], 0)
@@ -179,7 +196,7 @@ class Tagger:
         return dz @ self.p[f"x{d}"].T
 
     def loss(self, x: np.ndarray, y: np.ndarray):
-        em, (e, f, b, both) = self.emissions(x, keep=True)
+        em, (e, f, b, both) = self._forward(x)
         loss, g_em, g_tr, g_first = self._crf(em, y)
         grads = {k: np.zeros_like(v) for k, v in self.p.items()}
         grads["trans"], grads["first"], grads["bias"] = g_tr, g_first, g_em.sum((0, 1))
@@ -202,18 +219,31 @@ class Tagger:
                 self.p[k] -= rate * (m[k] / (1 - 0.9**t)) / (np.sqrt(s[k] / (1 - 0.999**t)) + 1e-8)
         return self
 
-    def decode(self, em: np.ndarray) -> np.ndarray:
-        """The best labels of one run of emissions."""
-        trans, first = self._scores()
-        best, back = first + em[0], np.zeros(em.shape, np.int64)
-        for i in range(1, len(em)):
-            score = best[:, None] + trans
-            back[i] = score.argmax(0)
-            best = score.max(0) + em[i]
-        out = np.zeros(len(em), np.int64)
-        out[-1] = best.argmax()
-        for i in range(len(em) - 1, 0, -1):
-            out[i - 1] = back[i, out[i]]
+    def decode(self, runs: list[np.ndarray], together: int = 512) -> list[np.ndarray]:
+        """The best labels of each run of emissions; runs of like length are decoded side by side."""
+        trans, first = (v.astype(np.float32) for v in self._scores())
+        out: list = [None] * len(runs)
+        order, at = sorted(range(len(runs)), key=lambda r: len(runs[r])), 0
+        while at < len(order):
+            some = [r for r in order[at : at + together] if len(runs[r]) <= 2 * len(runs[order[at]])]
+            at += len(some)
+            size = np.array([len(runs[r]) for r in some])
+            em = np.zeros((len(some), size[-1], LABELS), np.float32)
+            for k, r in enumerate(some):
+                em[k, : size[k]] = runs[r]
+            best, back = first + em[:, 0], np.empty((size[-1], len(some), LABELS), np.int8)
+            stay = np.arange(LABELS, dtype=np.int8)
+            for i in range(1, size[-1]):
+                score = best[:, :, None] + trans
+                ended = (size <= i)[:, None]
+                back[i] = np.where(ended, stay, score.argmax(1))
+                best = np.where(ended, best, score.max(1) + em[:, i])
+            labels, rows = np.empty((len(some), size[-1]), np.int64), np.arange(len(some))
+            labels[:, -1] = best.argmax(1)
+            for i in range(size[-1] - 1, 0, -1):
+                labels[:, i - 1] = back[i][rows, labels[:, i]]
+            for k, r in enumerate(some):
+                out[r] = labels[k, : size[k]]
         return out
 
 
@@ -226,39 +256,64 @@ def window_starts(text: bytes) -> list[int]:
     return sorted(starts)
 
 
-def added_spans(text: bytes, tagger: Tagger, base: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
-    starts = window_starts(text)
-    if not starts:
-        return []
-    x = np.zeros((len(starts), WINDOW), np.int64)
-    for i, s in enumerate(starts):
-        piece = codes(text[s : s + WINDOW])
-        x[i, : len(piece)] = piece
-    em = np.concatenate([tagger.emissions(x[i : i + 256]) for i in range(0, len(x), 256)])
-    weight = np.minimum(np.arange(WINDOW) + 1, WINDOW - np.arange(WINDOW)).astype(float)[:, None]
+_EDGE = np.minimum(np.arange(WINDOW) + 1, WINDOW - np.arange(WINDOW)).astype(np.float32)[:, None]
+
+
+def _blended(text: bytes, starts: list[int], em: np.ndarray) -> list[tuple[int, np.ndarray]]:
+    """(start, emissions) of each run of windows that touch."""
     out, i = [], 0
-    while i < len(starts):  # a run of windows that touch
+    while i < len(starts):
         j = i
         while j + 1 < len(starts) and starts[j + 1] - starts[j] <= STRIDE:
             j += 1
-        first, end = starts[i], min(starts[j] + WINDOW, len(text))
-        total, seen = np.zeros((starts[j] + WINDOW - first, LABELS)), np.zeros((starts[j] + WINDOW - first, 1))
+        first = starts[i]
+        total, seen = np.zeros((starts[j] + WINDOW - first, LABELS), np.float32), np.zeros((starts[j] + WINDOW - first, 1), np.float32)
         for k in range(i, j + 1):
             at = starts[k] - first
-            total[at : at + WINDOW] += em[k] * weight
-            seen[at : at + WINDOW] += weight
-        labels = tagger.decode((total / seen)[: end - first])
+            total[at : at + WINDOW] += em[k] * _EDGE
+            seen[at : at + WINDOW] += _EDGE
+        out.append((first, (total / seen)[: min(starts[j] + WINDOW, len(text)) - first]))
         i = j + 1
-        at = 0
-        while at < len(labels):
-            stop = at + 1
-            if labels[at] % 2 == 1:
+    return out
+
+
+def added_spans(texts: list[bytes], tagger: Tagger, bases: list[list[tuple[str, int, int]]], windows: int = 2048) -> list[list[tuple[str, int, int]]]:
+    """The spans that the tagger adds to each text. Windows of many texts are scored side by side."""
+    out: list[list] = [[] for _ in texts]
+    group, held = [], 0
+
+    def close():
+        cut = [s for _, starts in group for s in starts]
+        x = np.zeros((len(cut), WINDOW), np.int64)
+        row = 0
+        for t, starts in group:
+            whole = codes(texts[t])
+            for s in starts:
+                piece = whole[s : s + WINDOW]
+                x[row, : len(piece)] = piece
+                row += 1
+        em = np.concatenate([tagger.emissions(x[i : i + 512]) for i in range(0, len(x), 512)])
+        runs, row = [], 0
+        for t, starts in group:
+            runs += [(t, first, run) for first, run in _blended(texts[t], starts, em[row : row + len(starts)])]
+            row += len(starts)
+        for (t, first, _), labels in zip(runs, tagger.decode([run for _, _, run in runs]), strict=True):
+            for at in np.flatnonzero(labels % 2 == 1).tolist():
+                stop = at + 1
                 while stop < len(labels) and labels[stop] == labels[at] + 1:
                     stop += 1
                 kind, s, e = KINDS[labels[at] // 2], first + at, first + stop
-                if holds(kind, text[s:e]) and not any(a < e and s < b for _, a, b in base):
-                    out.append((kind, s, e))
-            at = stop
+                if holds(kind, texts[t][s:e]) and not any(a < e and s < b for _, a, b in bases[t]):
+                    out[t].append((kind, s, e))
+
+    for t, text in enumerate(texts):
+        starts = window_starts(text)
+        if starts:
+            group.append((t, starts))
+            held += len(starts)
+        if group and (held >= windows or t == len(texts) - 1):
+            close()
+            group, held = [], 0
     return out
 
 
@@ -299,9 +354,11 @@ def find_personal_data(docs: DataFrame, tagger: Tagger | None, text: str = "text
 
     def scan(batch):
         out = []
-        for t in utf8(batch, "t"):
-            base = base_spans(t)
-            rows = [(*b, None) for b in base] + [(*a, 1.0) for a in (added_spans(t, shared.value, base) if shared.value else [])]
+        texts = utf8(batch, "t")
+        bases = [base_spans(t) for t in texts]
+        added = added_spans(texts, shared.value, bases) if shared.value else [[]] * len(texts)
+        for t, base, more in zip(texts, bases, added, strict=True):
+            rows = [(*b, None) for b in base] + [(*a, 1.0) for a in more]
             starts, ends = code_points(t, [r[1] for r in rows]), code_points(t, [r[2] for r in rows])
             rows = sorted(zip([r[0] for r in rows], starts, ends, [r[3] for r in rows], strict=True), key=lambda r: (KINDS.index(r[0]), r[1], r[2]))
             out.append([{"kind": k, "start": s, "end": e, "score": x} for k, s, e, x in rows])
