@@ -16,6 +16,9 @@ Rows that repeat are judged one for one; an empty table gives no rows. Other col
 from __future__ import annotations
 
 import re
+from collections import Counter
+from itertools import islice
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -26,28 +29,30 @@ from asofkit.llm.common import SPACES, bounded, map_arrow, table, utf8
 from asofkit.llm.quality_rules import repeated_words
 
 BUCKETS = 1 << 14
-_MARKS = re.compile(rb"[#*$%&|<>=~^_\\]")
+_MARKS = b"#*$%&|<>=~^_\\"
 _MARKED = re.compile(rb"[#*$%&<>=~^_\\]+(?=[\x20\x09-\x0D]|$)")
-_UPPER, _LOWER, _ENDS = re.compile(rb"[A-Z]"), re.compile(rb"[a-z]"), (b".", b"!", b"?", b":", b";", b'"')
+_UPPER, _LOWER, _ENDS = bytes(range(65, 91)), bytes(range(97, 123)), (b".", b"!", b"?", b":", b";", b'"')
 GOOD, NONE, BAD = 1, 0, -1
 
 
+def _number_of(chars: bytes, text: bytes) -> int:
+    return len(text) - len(text.translate(None, chars))
+
+
 def measures(text: bytes) -> tuple[list[bytes], list[bytes], dict[str, float]]:
     words = text.split()
-    lines = [x.strip(SPACES) for x in text.split(b"\n") if x.strip(SPACES)]
+    lines = [x for x in (y.strip(SPACES) for y in text.split(b"\n")) if x]
     n = max(len(words), 1)
-    upper, lower = len(_UPPER.findall(text)), len(_LOWER.findall(text))
-    counts: dict[bytes, int] = {}
-    for w in words:
-        counts[w] = counts.get(w, 0) + 1
+    upper, lower, marks = (_number_of(x, text) for x in (_UPPER, _LOWER, _MARKS))
+    counts = Counter(words)
     return words, lines, {
         "n": len(words),
-        "marks": len(_MARKS.findall(text)) / n,
-        "marked": len(_MARKED.findall(text)) / n,
+        "marks": marks / n,
+        "marked": (len(_MARKED.findall(text)) if marks else 0) / n,
         "caps": upper / max(upper + lower, 1),
         "again": repeated_words(words) / n,
         "top": max(counts.values(), default=0) / n,
-        "same": sum(a == b for a, b in zip(words, words[1:], strict=False)) / n,
+        "same": sum(map(eq, words, islice(words, 1, None))) / n,
         "lines": 1 - len(set(lines)) / max(len(lines), 1),
         "ends": 1 - sum(x.endswith(_ENDS) for x in lines) / max(len(lines), 1),
         "shout": text.count(b"!!") / n,
@@ -105,15 +110,15 @@ def fit_labellers(patterns: np.ndarray, counts: np.ndarray, rounds: int = 100) -
 
 
 class _Buckets(dict):
-    """Two buckets of each word: itself and its shape (runs of a kind of character as one)."""
+    """Two buckets of each word in one number: itself, and below it its shape (runs of a kind of character as one)."""
 
-    def __missing__(self, word: bytes) -> tuple[int, int]:
+    def __missing__(self, word: bytes) -> int:
         import xxhash
 
         if len(self) > 300_000:
             self.clear()
         shape = re.sub(rb"(.)\1+", rb"\1", re.sub(rb"[a-z\x80-\xff]", b"a", re.sub(rb"[A-Z]", b"A", re.sub(rb"[0-9]", b"0", word))))[:12]
-        got = self[word] = (xxhash.xxh3_64_intdigest(word.lower()) % BUCKETS, xxhash.xxh3_64_intdigest(shape, seed=1) % BUCKETS)
+        got = self[word] = xxhash.xxh3_64_intdigest(word.lower()) % BUCKETS * BUCKETS + xxhash.xxh3_64_intdigest(shape, seed=1) % BUCKETS
         return got
 
 
@@ -126,10 +131,10 @@ def features(words: list[bytes], m: dict[str, float]) -> tuple[np.ndarray, np.nd
 
     if not words:
         return np.empty(0, np.int64), np.empty(0)
-    pairs = np.array(list(map(_BUCKETS.__getitem__, words)), np.int64)
+    pairs = np.divmod(np.fromiter(map(_BUCKETS.__getitem__, words), np.int64, len(words)), BUCKETS)
     marks = [xxhash.xxh3_64_intdigest(f"{k}:{int(10 * v)}".encode(), seed=2) % BUCKETS for k, v in m.items() if k != "n"]
-    shapes, count = np.unique(pairs[:, 1], return_counts=True)
-    own, own_count = np.unique(pairs[:, 0], return_counts=True)
+    shapes, count = np.unique(pairs[1], return_counts=True)
+    own, own_count = np.unique(pairs[0], return_counts=True)
     # Words, shapes and measures have a third of the length each, whatever their number.
     parts = [(own, np.log1p(own_count)), (shapes, count / len(words)), (np.array(marks), np.ones(len(marks)))]
     at = np.concatenate([a for a, _ in parts])
