@@ -109,6 +109,11 @@ def fit_labellers(patterns: np.ndarray, counts: np.ndarray, rounds: int = 100) -
     return post[1]
 
 
+#: Each byte's kind: A, a (other letters, and bytes of characters beyond ASCII), 0, or the byte itself.
+_KIND = bytes(65 if c in _UPPER else 97 if c in _LOWER or c > 127 else 48 if 48 <= c < 58 else c for c in range(256))
+_RUN = re.compile(rb"(.)\1+")
+
+
 class _Buckets(dict):
     """Two buckets of each word in one number: itself, and below it its shape (runs of a kind of character as one)."""
 
@@ -117,7 +122,7 @@ class _Buckets(dict):
 
         if len(self) > 300_000:
             self.clear()
-        shape = re.sub(rb"(.)\1+", rb"\1", re.sub(rb"[a-z\x80-\xff]", b"a", re.sub(rb"[A-Z]", b"A", re.sub(rb"[0-9]", b"0", word))))[:12]
+        shape = _RUN.sub(rb"\1", word.translate(_KIND))[:12]
         got = self[word] = xxhash.xxh3_64_intdigest(word.lower()) % BUCKETS * BUCKETS + xxhash.xxh3_64_intdigest(shape, seed=1) % BUCKETS
         return got
 
