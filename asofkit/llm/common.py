@@ -31,7 +31,7 @@ class Scratch:
         """Write ``df`` as Parquet and go on from the files, which outlive the executors that wrote them."""
         self.n += 1
         at = f"{self.path}/t{self.n}"
-        df.write.parquet(at)
+        df.write.option("compression", "zstd").parquet(at)
         return self.spark.read.schema(df.schema).parquet(at)
 
 
