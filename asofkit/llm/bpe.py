@@ -29,12 +29,14 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from asofkit.llm.common import bounded, strings, table
+from asofkit.llm.common import bounded, caching, strings, table, thrifty
 
 #: White space as the tokenizers library has it (Unicode White_Space).
 _SPACE = regex.compile(r"[\t-\r\x20\x85\xa0  -     　]+")
 _SEPARATORS = regex.compile(r"[\x1c-\x1f]")
 _END = 256
+#: Most entries of each of a worker's three caches; a full one is emptied.
+CACHED = 200_000
 
 
 def byte_letters() -> dict[str, int]:
@@ -116,7 +118,7 @@ class Encoder:
             else:
                 ok = True
                 break
-        if len(self.allowed) > 1_000_000:
+        if len(self.allowed) > CACHED:
             self.allowed.clear()
         self.allowed[left, right] = ok
         return ok
@@ -159,7 +161,7 @@ class Encoder:
         for w in self.split.findall(unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()):
             got = self.words.get(w)
             if got is None:
-                if len(self.words) > 400_000:
+                if len(self.words) > CACHED:
                     self.words.clear()
                 got = self.words[w] = self.word(w)
             out.append(got)
@@ -168,7 +170,7 @@ class Encoder:
     def _chunk(self, chunk: str) -> bytes:
         got = self._plain(chunk)
         if len(chunk) < 64:
-            if len(self.chunks) > 500_000:
+            if len(self.chunks) > CACHED:
                 self.chunks.clear()
             self.chunks[chunk] = got
         return got
@@ -229,6 +231,7 @@ def bpe_encode(docs: DataFrame, vocabulary: str, text: str = "text", ids: str =
     arrow = to_arrow_schema(schema)
 
     def run(batches):
+        caching(tools.cache_clear)
         encoder, decoder = tools(source.value)
         for whole in batches:
             for at in range(0, max(whole.num_rows, 1), 256):
@@ -241,7 +244,7 @@ def bpe_encode(docs: DataFrame, vocabulary: str, text: str = "text", ids: str =
                     cols.append(pa.array([decoder.decode(c).decode() for c in coded], pa.string()))
                 yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(cols, arrow, strict=True)], schema=arrow)
 
-    return bounded(docs).mapInArrow(run, schema)
+    return bounded(docs).mapInArrow(thrifty(run), schema)
 
 
 def with_digests(encoded: DataFrame, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
@@ -257,7 +260,7 @@ def with_digests(encoded: DataFrame, ids: str = "ids", decoded: str = "decoded")
                 pa.array([hashlib.sha256(t.encode()).hexdigest() for t in texts], pa.string()),
             ], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return bounded(encoded.select("doc_id", ids, decoded)).mapInArrow(digest, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return bounded(encoded.select("doc_id", ids, decoded)).mapInArrow(thrifty(digest), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def op2_bpe(spark: SparkSession, sf_dir: str, vocabulary: str = "word_bpe_49k.json") -> DataFrame:

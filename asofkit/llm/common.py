@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import sys
 from collections.abc import Callable, Iterator
 from functools import reduce
 
@@ -49,6 +51,35 @@ def bounded(df: DataFrame) -> DataFrame:
     return df
 
 
+def give_back() -> None:
+    """Hand memory that is free back to the system: a Python worker outlives its task, and what it holds is the executor's."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux" and hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+        libc.malloc_trim(0)
+
+
+_FREE: list[Callable[[], None]] = []
+
+
+def caching(free: Callable[[], None]) -> None:
+    """Say before filling a cache of this worker how to empty it: the cache of the operator before, if another, is
+    emptied now, so the stages of a pipeline, which share workers, hold one operator's cache at a time."""
+    if free not in _FREE:
+        while _FREE:
+            _FREE.pop()()
+        _FREE.append(free)
+        give_back()
+
+
+def thrifty(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable:
+    """``run``, then free memory goes back."""
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        give_back()
+
+    return whole
+
+
 def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: str) -> DataFrame:
     """Rows that ``fn`` makes of each Arrow batch, as a dict of columns in the schema's order."""
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -62,7 +93,7 @@ def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: str)
             if made is not None:
                 yield pa.RecordBatch.from_arrays([pa.array(made[f.name], f.type) for f in arrow], schema=arrow)
 
-    return bounded(df).mapInArrow(run, schema)
+    return bounded(df).mapInArrow(thrifty(run), schema)
 
 
 def utf8(batch: pa.RecordBatch, name: str) -> list[bytes]:

@@ -33,7 +33,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from asofkit.llm.common import Bitmap, Scratch, bounded, map_arrow, table, utf8
+from asofkit.llm.common import Bitmap, Scratch, bounded, caching, map_arrow, table, thrifty, utf8
 
 _MULT, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
@@ -52,6 +52,7 @@ _HASHES = _Hashes()
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:
+    caching(_HASHES.clear)
     return np.fromiter(map(_HASHES.__getitem__, words), np.int64, len(words)).view(np.uint64)
 
 
@@ -331,7 +332,7 @@ def _block_pairs(members: DataFrame, vectors: DataFrame, tile: int, forest: bool
         if out_a:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), pa.int64()) for x in (out_a, out_b)], ["a", "b"])
 
-    return bounded(dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")).mapInArrow(run, "a long, b long").distinct()
+    return bounded(dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")).mapInArrow(thrifty(run), "a long, b long").distinct()
 
 
 def ngram_join(docs: DataFrame, n: int = 5, tile: int = 1_000) -> DataFrame:

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from asofkit.llm.common import SPACES, bounded, map_arrow, table, utf8
+from asofkit.llm.common import SPACES, bounded, caching, map_arrow, table, thrifty, utf8
 from asofkit.llm.quality_rules import repeated_words
 
 BUCKETS = 1 << 14
@@ -136,6 +136,7 @@ def features(words: list[bytes], m: dict[str, float]) -> tuple[np.ndarray, np.nd
 
     if not words:
         return np.empty(0, np.int64), np.empty(0)
+    caching(_BUCKETS.clear)
     pairs = np.divmod(np.fromiter(map(_BUCKETS.__getitem__, words), np.int64, len(words)), BUCKETS)
     marks = [xxhash.xxh3_64_intdigest(f"{k}:{int(10 * v)}".encode(), seed=2) % BUCKETS for k, v in m.items() if k != "n"]
     shapes, count = np.unique(pairs[1], return_counts=True)
@@ -216,7 +217,7 @@ def kept_rows(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
         for batch in batches:
             yield batch.filter(pa.array([shared.value.score(t) >= shared.value.threshold for t in utf8(batch, text)], pa.bool_()))
 
-    return bounded(docs).mapInArrow(run, docs.schema)
+    return bounded(docs).mapInArrow(thrifty(run), docs.schema)
 
 
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -434,3 +434,25 @@ def test_empty_tables(none, tmp_path):
     assert quality_rules.quality_rules(none).count() == 0
     assert token_counts.token_counts(none, public_tokenizers.path("byte_bpe_50k.json"), f"{tmp_path}/c").count() == 0
     assert url_filter.url_verdicts(none.selectExpr("doc_id AS page_id", "text AS url")).count() == 0
+
+
+def test_a_worker_holds_one_operators_cache_and_caches_do_not_change_results(monkeypatch):
+    texts = ["one two one", "two three Two", "four five six seven eight", "one"]
+    want = [quality_classifier.features(*_words_and_measures(t)) for t in texts]
+    assert quality_classifier._BUCKETS and not ngram_join._HASHES
+    sets = [ngram_join.shingle_set(t.encode()) for t in texts]
+    assert ngram_join._HASHES and not quality_classifier._BUCKETS
+    for t, (at, value) in zip(texts, want, strict=True):
+        again, v = quality_classifier.features(*_words_and_measures(t))
+        assert (again == at).all() and (v == value).all()
+    assert not ngram_join._HASHES and all((ngram_join.shingle_set(t.encode()) == s).all() for t, s in zip(texts, sets, strict=True))
+    source = open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8").read()
+    whole = [bpe.tools(source)[0].encode(t) for t in texts]
+    monkeypatch.setattr(bpe, "CACHED", 1)
+    bpe.tools.cache_clear()
+    assert [bpe.tools(source)[0].encode(t) for t in texts] == whole
+
+
+def _words_and_measures(text):
+    words, _, m = quality_classifier.measures(text.encode())
+    return words, m
