@@ -1,13 +1,16 @@
 """Op 1: secret scans by grammar inference.
 
-Three fixed patterns find the base spans. Their contents are labelled credentials; ordinary long tokens beside them are
+Three fixed patterns find the base spans. Their contents are labelled credentials; ordinary tokens beside them are
 labelled as words. From a bounded sample of each, a prefix tree is built over classes of characters, and states whose
 outgoing frequencies a Hoeffding bound cannot tell apart are merged (with all that follows from them), which gives one
-probabilistic automaton per kind. Every long token of every text that no base span touches is scored: the likelihood of
-its format under the best credential automaton against that under the automaton of words.
+probabilistic automaton per kind. Every token of ``LEAST`` characters or more that no base span touches is scored,
+whatever its characters: the likelihood of its format under the best credential automaton against that under the
+automaton of words. The margin alone decides, so letters that are as likely a word stay unmarked.
 
-The sample: ``sample`` distinct values per kind, of smallest hash. They are collected (bounded); matches are counted
-and made distinct by Spark.
+The sample: ``sample`` distinct values per kind, of smallest hash; words under ``LONG`` characters and longer ones are
+sampled apart, as long tokens and the numbers among them are rare, and train one automaton. Batches leave all but their
+own smallest out, which loses none of the smallest of all. Words that the first automata find more likely credentials
+leave the sample, and the automaton of words is made again. A kind with under 5 labelled values has no automaton.
 
 Defined results: null counts as empty; no spans give the digest of the empty string. Offsets are code points, ends
 exclusive. Spans of the method have the kind "format" and come after the listed kinds. Without labelled credentials of
@@ -17,15 +20,16 @@ not read. Patterns take linear time on long texts.
 
 from __future__ import annotations
 
-import hashlib
+import heapq
 import re
 from collections.abc import Iterable
 
 import numpy as np
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from asofkit.llm.common import Scratch, map_arrow, table, utf8
+from asofkit.llm.common import Scratch, caching, map_arrow, table, utf8
 
 KINDS = ("assign", "access", "hex", "format")
 
@@ -40,7 +44,9 @@ _NAMES = "|".join(f"(?<={_either(n[0])}){_either(n[1:])}" for n in ("password",
 ASSIGN = re.compile(rf"[PpSsTtAa](?:{_NAMES})[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)".encode())
 ACCESS = re.compile(rb"AKIA[A-Z0-9]{12,}")  # a shorter run holds no longer match
 HEX = re.compile(rb"(?<![0-9a-f])[0-9a-f]{32,}")
-TOKEN = re.compile(rb"(?<![A-Za-z0-9+/_=.-])[A-Za-z0-9+/_=.-]{16,}")
+LEAST = 8  # characters of a labelled value, and so of a candidate
+LONG = 16
+TOKEN = re.compile(rb"(?<![A-Za-z0-9+/_=.-])[A-Za-z0-9+/_=.-]{%d,}" % LEAST)
 
 
 def code_points(text: bytes, at: Iterable[int]) -> list[int]:
@@ -53,19 +59,19 @@ def code_points(text: bytes, at: Iterable[int]) -> list[int]:
 
 def base_spans(text: bytes) -> list[tuple[str, int, int, bytes]]:
     """(kind, start, end, credential) in bytes."""
-    out = [("assign", m.start(), m.end(), m[1]) for m in ASSIGN.finditer(text) if len(m[1]) >= 8]
+    out = [("assign", m.start(), m.end(), m[1]) for m in ASSIGN.finditer(text) if len(m[1]) >= LEAST]
     out += [("access", m.start(), m.end(), m[0]) for m in ACCESS.finditer(text)]
     return out + [("hex", m.start(), m.end(), m[0]) for m in HEX.finditer(text)]
 
 
 def other_tokens(text: bytes, spans: list[tuple]) -> list[tuple[int, int]]:
-    """Long tokens that no span touches; dots, dashes and the like at their ends don't count."""
+    """Tokens of ``LEAST`` characters or more that no span touches; dots, dashes and the like at their ends don't count."""
     out, taken = [], sorted((s, e) for _, s, e, *_ in spans)
     for m in TOKEN.finditer(text):
         value = m[0].rstrip(b".-_/+")
         start = m.start() + len(value) - len(value.lstrip(b".-_/+"))
         end = m.start() + len(value)
-        if end - start >= 16 and not any(s < end and start < e for s, e in taken):
+        if end - start >= LEAST and not any(s < end and start < e for s, e in taken):
             out.append((start, end))
     return out
 
@@ -73,6 +79,7 @@ def other_tokens(text: bytes, spans: list[tuple]) -> list[tuple[int, int]]:
 #: Classes of characters by their first letter; the number of characters that share a class.
 _CLASS = {c: "f" if c in "abcdef" else "l" if c.islower() else "U" if c.isupper() else "0" if c.isdigit() else c
           for c in map(chr, range(33, 127))}
+_SHAPE = bytes(ord(_CLASS.get(chr(c), "?")) for c in range(256))  # classes are members of themselves
 _SIZE = {k: float(sum(v == k for v in _CLASS.values())) for k in set(_CLASS.values())}
 
 
@@ -148,14 +155,21 @@ class Automaton:
         self.states = len(kept)
         self.next = [self.next[i] if i in seen else {} for i in range(len(self.next))]
         self.count = [self.count[i] if i in seen else {} for i in range(len(self.count))]
+        self.steps: dict[tuple[int, str], tuple[float, int]] = {}
+
+    def _step(self, at: int, c: str) -> tuple[float, int]:
+        """Log chance of a step, and where it leads."""
+        n = sum(self.count[at].values())
+        chance = float(np.log((self.count[at].get(c, 0) + 0.05) / (n + 1.0)) - np.log(_SIZE.get(c, 1.0)))
+        got = self.steps[at, c] = chance, self.next[at].get(c, 0)
+        return got
 
     def log_likelihood(self, value: str) -> float:
         """Of the string; unseen steps have a small chance, and lead back to the start."""
         at, total = 0, 0.0
         for c in [*(_CLASS.get(x, "?") for x in value), self.END]:
-            n = sum(self.count[at].values())
-            total += float(np.log((self.count[at].get(c, 0) + 0.05) / (n + 1.0)) - np.log(_SIZE.get(c, 1.0)))
-            at = self.next[at].get(c, 0)
+            chance, at = self.steps.get((at, c)) or self._step(at, c)
+            total += chance
         return total
 
 
@@ -164,33 +178,55 @@ class Model:
         """margin: log odds from which a token counts as a credential."""
         self.margin = margin
         self.kinds = {k: Automaton(v) for k, v in values.items() if k != "word" and len(v) >= 5}
-        self.word = Automaton(values.get("word", []))
+        words = values.get("word", [])
+        self.word = Automaton(words)
+        # Words of the sample that are more likely credentials are just that, without a label; they would teach their format.
+        self.word = Automaton([v for v in words if self.score(v) < 0])
+        self.scores: dict[bytes, float] = {}
 
     def score(self, value: str) -> float:
         """Log odds of a credential's format against a word's."""
-        if not self.kinds or not any(map(str.isdigit, value)):
+        if not self.kinds:
             return float("-inf")
         return max(a.log_likelihood(value) for a in self.kinds.values()) - self.word.log_likelihood(value)
 
+    def score_token(self, token: bytes) -> float:
+        """The same; scores of usual shapes are kept, which most words share."""
+        shape = token.translate(_SHAPE)
+        got = self.scores.get(shape)
+        if got is None:
+            got = self.score(shape.decode())
+            if len(shape) <= 64:
+                if len(self.scores) > 300_000:
+                    self.scores.clear()
+                self.scores[shape] = got
+        return got
+
 
 def fit(docs: DataFrame, text: str = "text", sample: int = 400) -> Model:
     """Automata from a bounded sample: ``sample`` distinct values of each kind, each cut to 64 characters."""
+    sampled = ("assign", "access", "hex", "word", "long word")
+
+    def order(value: bytes) -> tuple[int, bytes]:
+        """As Spark orders by xxhash64(value), value."""
+        h = xxhash.xxh64_intdigest(value, seed=42)
+        return h - (h >> 63 << 64), value
+
     def label(batch):
-        kinds, values = [], []
+        found = {k: set() for k in sampled}
         for t in utf8(batch, "t"):
             spans = base_spans(t)
             for kind, _, _, value in spans:
-                kinds.append(kind)
-                values.append(value[:64].decode())
+                found[kind].add(value[:64])
             for s, e in other_tokens(t, spans):
-                kinds.append("word")
-                values.append(t[s:e][:64].decode())
-        return {"kind": kinds, "value": values}
+                found["word" if e - s < LONG else "long word"].add(t[s:e][:64])
+        rows = [(k, v.decode()) for k, values in found.items() for v in heapq.nsmallest(sample, values, key=order)]
+        return {"kind": [k for k, _ in rows], "value": [v for _, v in rows]}
 
     found = Scratch(docs.sparkSession).keep(map_arrow(docs.select(F.col(text).alias("t")), label, "kind string, value string").distinct())
     values = {k: [r.value for r in found.where(F.col("kind") == k).orderBy(F.xxhash64("value"), "value").limit(sample).collect()]
-              for k in ("assign", "access", "hex", "word")}
-    return Model(values)
+              for k in sampled}
+    return Model(values | {"word": values.pop("word") + values.pop("long word")})
 
 
 def find_secrets(docs: DataFrame, model: Model, text: str = "text", id: str = "doc_id") -> DataFrame:
@@ -198,13 +234,14 @@ def find_secrets(docs: DataFrame, model: Model, text: str = "text", id: str = "d
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def scan(batch):
-        out = []
+        out, model = [], shared.value
+        caching(model.scores.clear)
         for t in utf8(batch, "t"):
             spans = base_spans(t)
             rows = [(k, s, e, None) for k, s, e, _ in spans]
             for s, e in other_tokens(t, spans):
-                score = shared.value.score(t[s:e].decode())
-                if score >= shared.value.margin:
+                score = model.score_token(t[s:e])
+                if score >= model.margin:
                     rows.append(("format", s, e, score))
             if rows:
                 starts, ends = code_points(t, [r[1] for r in rows]), code_points(t, [r[2] for r in rows])

@@ -373,6 +373,26 @@ def test_automata_tell_formats_apart():
     assert secret_scan.Model({}).score(hexes[0]) == float("-inf")
 
 
+def test_candidates_without_digits_and_short_ones_are_scored(spark):
+    r, letters = random.Random(6), "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    key = lambda n, of=letters + "0123456789": "".join(r.choices(of, k=n))
+    syllables = ["tion", "ver", "ing", "ent", "re", "con", "ble", "ous", "ly", "an"]
+    word = lambda n: "".join(r.choices(syllables, k=n))
+    numbers = [f"2024-{i % 12 + 1:02}-{i % 28 + 1:02}" for i in range(40)] + [str(4000_0000_0000_0000 + 7919 * i**3) for i in range(40)]
+    plain = [f"{word(3)} {word(5)} {word(8).capitalize()} {x}" for x in numbers for _ in range(20)]
+    labelled = [f'the api_key = "{key(r.randint(8, 40))}" of {word(3)}' for _ in range(300)]
+    planted = [key(n, letters) for n in (16, 20, 24, 32) for _ in range(25)] + [key(n) for n in (10, 12, 15) for _ in range(25)]
+    docs = spark.createDataFrame(list(enumerate(plain + labelled + [f"{word(2)} {k}, {word(4)}" for k in planted])), "doc_id long, text string")
+    model = secret_scan.fit(docs)
+    found = {x.doc_id: [s for s in x.spans if s.kind == "format"] for x in secret_scan.find_secrets(docs, model).collect()}
+    texts = {x.doc_id: x.text for x in docs.collect()}
+    marked = {texts[i][s.start : s.end] for i, spans in found.items() for s in spans}
+    bare = planted[:100], planted[100:]
+    assert all(sum(k in marked for k in of) / len(of) >= 0.85 for of in bare)
+    assert not marked - set(planted), "long plain words, dates and numbers stay"
+    assert all(model.score_token(k.encode()) == model.score(k) for k in planted)
+
+
 def test_tagger_gradients_and_held_out_spans():
     r = np.random.default_rng(2)
     tagger = pii.Tagger(size=3, hidden=4)
