@@ -6,8 +6,10 @@ counts estimates each labeller's accuracy and so each pattern's posterior, witho
 hashed features (words, shapes of words, repeated words and lines) is then fitted to the posteriors of a bounded
 sample, and judges every text. The scorer reads more than the labellers do, so it generalises over them.
 
-The sample: about ``sample`` documents by a hash of the text (a documented bound; fewer documents are all taken).
-Its features travel to the driver as sparse counts, at most ``BUCKETS`` numbers per document, never its texts.
+The sample: at most ``sample`` distinct texts (fewer are all taken), each weighted by the rows that it stands for. It is a
+priority sample: a text's chance grows with its number of copies, by a hash of the text, so one that many rows repeat is
+in it with its own weight and others weigh alike. Their features travel to the driver as sparse counts, at most
+``BUCKETS`` numbers per text, never the texts.
 
 Defined results: a null or blank text has no features and no vote; it is kept (quality says nothing against it).
 Rows that repeat are judged one for one; an empty table gives no rows. Other columns are carried whatever their names.
@@ -25,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from asofkit.llm.common import SPACES, bounded, caching, map_arrow, table, thrifty, utf8
+from asofkit.llm.common import SPACES, Scratch, bounded, caching, map_arrow, table, thrifty, utf8
 from asofkit.llm.quality_rules import repeated_words
 
 BUCKETS = 1 << 14
@@ -147,17 +149,19 @@ def features(words: list[bytes], m: dict[str, float]) -> tuple[np.ndarray, np.nd
     return at, np.concatenate([v / np.sqrt(3 * (v * v).sum()) for _, v in parts])
 
 
-def fit_scorer(rows: list[tuple[np.ndarray, np.ndarray]], target: np.ndarray, rounds: int = 200, decay: float = 1e-4) -> np.ndarray:
-    """Logistic weights (the last is the bias) on soft targets, by full-batch Adam."""
+def fit_scorer(rows: list[tuple[np.ndarray, np.ndarray]], target: np.ndarray, rounds: int = 200, decay: float = 1e-4,
+               weight: np.ndarray | None = None) -> np.ndarray:
+    """Logistic weights (the last is the bias) on soft targets, by full-batch Adam; ``weight`` of each row, else alike."""
     weights = np.zeros(BUCKETS + 1)
     if not rows:
         return weights
+    share = np.full(len(rows), 1 / len(rows)) if weight is None else weight / weight.sum()
     doc = np.repeat(np.arange(len(rows)), [len(a) for a, _ in rows])
     at, value = np.concatenate([a for a, _ in rows]), np.concatenate([v for _, v in rows])
     m, s = np.zeros_like(weights), np.zeros_like(weights)
     for t in range(1, rounds + 1):
         p = 1 / (1 + np.exp(-(np.bincount(doc, value * weights[at], len(rows)) + weights[-1])))
-        err = (p - target) / len(rows)
+        err = (p - target) * share
         grad = np.bincount(at, value * err[doc], BUCKETS + 1) + decay * weights
         grad[-1] += err.sum()
         m, s = 0.9 * m + 0.1 * grad, 0.99 * s + 0.01 * grad * grad
@@ -178,6 +182,25 @@ class Model:
         return float(1 / (1 + np.exp(-(value @ self.weights[at] + self.weights[-1]))))
 
 
+def sampled_texts(rows: DataFrame, sample: int) -> tuple[DataFrame, dict[int, float]]:
+    """(t, h) of at most ``sample`` distinct texts t of ``rows``, and the weight of each by its hash h."""
+    hashed = rows.select("t", F.xxhash64("t").alias("h"))
+    groups = Scratch(rows.sparkSession).keep(hashed.groupBy("h").agg(F.count(F.lit(1)).alias("c")))
+    # A cut of the priorities that leaves more than the sample, but not many more: by the number of texts per power of two of copies.
+    sizes = groups.groupBy(F.floor(F.log2("c") + 1e-9).alias("b")).agg(F.count(F.lit(1)).alias("n")).toArrow()
+    at_least, number = 2.0 ** sizes.column("b").to_numpy(), sizes.column("n").to_numpy()
+    low, high, want = 0.0, 1.0, sample + 10 * sample**0.5 + 50
+    for _ in range(60):
+        mid = (low + high) / 2
+        low, high = (mid, high) if (number * np.minimum(1, at_least * mid)).sum() < want else (low, mid)
+    ranked = groups.withColumn("at", (F.shiftrightunsigned("h", 11) + 0.5) / F.lit(2.0**53) / F.col("c"))
+    top = ranked.where(F.col("at") <= high).orderBy("at", "h").limit(sample + 1).toArrow()
+    h, c, at = (top.column(k).to_numpy()[:sample] for k in ("h", "c", "at"))
+    least = 1 / top.column("at").to_numpy()[-1] if len(top) > sample else 0.0
+    picked = rows.sparkSession.createDataFrame([(x,) for x in h.tolist()], "h long")
+    return hashed.join(F.broadcast(picked), "h", "left_semi").dropDuplicates(["h"]), dict(zip(h.tolist(), np.maximum(c, least).tolist(), strict=True))
+
+
 def fit(docs: DataFrame, text: str = "text", sample: int = 4_000, threshold: float = 0.5) -> Model:
     rows = docs.select(F.col(text).alias("t"))
 
@@ -195,18 +218,18 @@ def fit(docs: DataFrame, text: str = "text", sample: int = 4_000, threshold: flo
 
     def feature(batch):
         out = []
-        for t in utf8(batch, "t"):
+        for h, t in zip(batch.column("h").to_pylist(), utf8(batch, "t"), strict=True):
             words, _, m = measures(t)
             if words:
                 at, value = features(words, m)
-                out.append((at, value, int((np.array(votes(m)) + 1) @ 3 ** np.arange(LABELLERS))))
-        return {"at": [a for a, _, _ in out], "value": [v for _, v, _ in out], "code": [c for _, _, c in out]}
+                out.append((h, at, value, int((np.array(votes(m)) + 1) @ 3 ** np.arange(LABELLERS))))
+        return {"h": [h for h, *_ in out], "at": [a for _, a, _, _ in out], "value": [v for _, _, v, _ in out], "code": [c for *_, c in out]}
 
-    share = min(1.0, sample / counts.sum())
-    chosen = rows.where(F.pmod(F.xxhash64("t"), F.lit(1 << 30)) < int(share * (1 << 30)) + (share >= 1)) if share < 1 else rows
-    made = map_arrow(chosen, feature, "at array<int>, value array<double>, code long").orderBy("code", F.xxhash64("at")).toArrow()
+    chosen, weight = sampled_texts(rows, sample)
+    made = map_arrow(chosen, feature, "h long, at array<int>, value array<double>, code long").orderBy("h").toArrow()
     fitted = [(np.array(a, np.int64), np.array(v)) for a, v in zip(made.column("at").to_pylist(), made.column("value").to_pylist(), strict=True)]
-    return Model(fit_scorer(fitted, np.array([posterior.get(c, 0.5) for c in made.column("code").to_pylist()])), threshold)
+    return Model(fit_scorer(fitted, np.array([posterior.get(c, 0.5) for c in made.column("code").to_pylist()]),
+                            weight=np.array([weight[h] for h in made.column("h").to_pylist()])), threshold)
 
 
 def kept_rows(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:

@@ -262,6 +262,20 @@ def test_quality_rules_bands(docs, rows):
 
 # Op 4
 
+def test_quality_sample_is_bounded_and_weighted(spark):
+    copies = spark.range(3_000).selectExpr("if(id < 1000, 'one hot text of many rows', concat('a text of its own ', id)) AS t")
+    chosen, weight = quality_classifier.sampled_texts(copies, 50)
+    got = chosen.collect()
+    assert len(got) == len(weight) == 50 and {x.h for x in got} == set(weight)
+    assert {x.t: weight[x.h] for x in got}["one hot text of many rows"] == 1_000
+    assert sum(weight.values()) == pytest.approx(3_000, rel=0.5) and len({w for w in weight.values() if w < 1_000}) == 1
+    whole, weight = quality_classifier.sampled_texts(copies, 5_000)
+    assert whole.count() == 2_001 and sum(weight.values()) == 3_000
+    rows, target = [(np.array([1]), np.ones(1)), (np.array([2]), np.ones(1))], np.array([1.0, 0.0])
+    twice = quality_classifier.fit_scorer([rows[0], rows[0], rows[1]], np.array([1.0, 1.0, 0.0]))
+    assert quality_classifier.fit_scorer(rows, target, weight=np.array([2.0, 1.0])) == pytest.approx(twice)
+
+
 def test_quality_classifier_held_out_labels(spark):
     sf = "/root/testdata/sf0.01"
     truth = {r.doc_id: r.quality for r in table(spark, sf, "labels").collect()}
