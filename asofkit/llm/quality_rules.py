@@ -3,7 +3,8 @@
 Text that compresses far better than prose repeats itself; text that hardly compresses is noise or encoded data. Whole
 documents and chunks of ``CHUNK`` bytes are compressed with zstandard; the ratio (compressed / raw) must lie in the
 band of its length: short texts compress badly by nature, long ones well. A document is rejected if its own ratio lies
-outside of its band, or if more than ``BAD_CHUNKS`` of its chunks do.
+outside of its band, or if more than ``tolerated`` of its chunks do: half of two, a share that falls with their number,
+a tenth from ten chunks (40 KB) on.
 
 The fixed values of the contract (words, symbols, repeated lines and windows) are counted in the same pass.
 
@@ -26,7 +27,7 @@ from asofkit.llm.ngram_join import windows, word_hashes
 #: (bytes up to, least ratio, most ratio), zstandard level 3. Prose lies well inside at each length.
 BANDS = ((256, 0.45, 1.10), (1_024, 0.32, 0.90), (4_096, 0.25, 0.75), (16_384, 0.20, 0.65), (1 << 62, 0.12, 0.60))
 CHUNK = 4_096
-BAD_CHUNKS = 0.5
+BAD_CHUNKS, BAD_IN_LONG = 0.5, 0.1
 _SYMBOLS = re.compile(rb"[#*$%&|<>]")
 
 
@@ -35,6 +36,11 @@ def _outside(raw: int, packed: int) -> bool:
     return not low <= packed / raw <= high
 
 
+def tolerated(size: int) -> float:
+    """The share of chunks that may lie outside of their bands in a text of so many bytes: one chunk, a tenth in long texts."""
+    return min(BAD_CHUNKS, max(BAD_IN_LONG, 1 / max(-(-(size - CHUNK // 2) // CHUNK), 1)))
+
+
 def ratios(text: bytes, packer: zstandard.ZstdCompressor) -> tuple[float, float]:
     """The whole text's ratio, and the share of its chunks outside of their bands. A rest under half a chunk joins the last."""
     if not text:
@@ -78,7 +84,7 @@ def quality_rules(docs: DataFrame, text: str = "text", id: str = "doc_id") -> Da
             n, again = len(words), repeated_words(words)
             failed = n < 20 or 100 * again > 30 * n
             ratio, bad = ratios(t, packer)
-            ok = not failed and not _outside(len(t), ratio * len(t)) and bad <= BAD_CHUNKS
+            ok = not failed and not _outside(len(t), ratio * len(t)) and bad <= tolerated(len(t))
             for k, v in zip(cols, (n, points, len(_SYMBOLS.findall(t)), repeated_lines(t), again, failed, ok, ratio, bad), strict=True):
                 cols[k].append(v)
         return {"doc_id": batch.column("i"), **cols}

@@ -260,6 +260,23 @@ def test_quality_rules_bands(docs, rows):
     assert quality_rules.ratios(b"", packer) == (1.0, 0.0)
 
 
+def test_quality_rules_find_partial_noise_and_repetition(spark):
+    r = random.Random(8)
+    vocabulary = ["".join(r.choice("aeiourstln") for _ in range(r.randint(2, 8))) for _ in range(900)]
+    prose = lambda n: "".join(" ".join(r.choices(vocabulary, k=12)) + ".\n" for _ in range(n // 70))
+    noise = lambda n: "".join("".join(chr(c) for c in r.choices(range(40, 123), k=76)) + "\n" for _ in range(n // 77))
+    again = lambda n: (r.choice(vocabulary) + " ") * (n // 6)
+    texts = [prose(100_000 * (100 - k) // 100) + junk(100_000 * k // 100) for junk in (noise, again) for k in (20, 35, 49)]
+    texts += [prose(50_000) + noise(48_000) + prose(50_000)] + [prose(n) for n in (3_000, 9_000, 30_000, 100_000, 400_000)]
+    got = {x.doc_id: x for x in quality_rules.quality_rules(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert [got[i].kept for i in range(len(texts))] == [False] * 7 + [True] * 5
+    assert all(not _outside_of_band(t, got[i].ratio) for i, t in enumerate(texts) if i < 2)  # the chunks tell, not the whole
+
+
+def _outside_of_band(text, ratio):
+    return quality_rules._outside(len(text.encode()), ratio * len(text.encode()))
+
+
 # Op 4
 
 def test_quality_sample_is_bounded_and_weighted(spark):
