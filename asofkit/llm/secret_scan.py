@@ -91,27 +91,47 @@ class Automaton:
     def __init__(self, values: list[str], alpha: float = 0.05):
         self.next: list[dict[str, int]] = [{}]
         self.count: list[dict[str, int]] = [{}]
+        self.rest: dict[int, tuple[str, int]] = {}  # states of one value alone: it, and where they begin in it
         for v in values:
-            self._add([_CLASS.get(c, "?") for c in v])
+            self._add(0, "".join(_CLASS.get(c, "?") for c in v), 0)
         self.bound = float(np.sqrt(0.5 * np.log(2 / alpha)))
         self._merge_states()
 
-    def _add(self, classes: list[str]) -> None:
-        at = 0
-        for c in [*classes, self.END]:
+    def _open(self, at: int) -> None:
+        """Give a state of one value alone its count and next state."""
+        if at in self.rest:
+            classes, i = self.rest.pop(at)
+            self.count[at] = {classes[i : i + 1]: 1}
+            if i < len(classes):
+                self.next[at] = {classes[i]: self._new(classes, i + 1)}
+
+    def _new(self, classes: str, i: int) -> int:
+        self.rest[len(self.next)] = classes, i
+        self.next.append({})
+        self.count.append({})
+        return len(self.next) - 1
+
+    def _add(self, at: int, classes: str, i: int) -> None:
+        """Count a value from its place ``i`` and a state on. Where it leaves the known states, its rest is kept as one."""
+        while True:
+            self._open(at)
+            c = classes[i : i + 1]
             self.count[at][c] = self.count[at].get(c, 0) + 1
-            if c != self.END:
-                if c not in self.next[at]:
-                    self.next[at][c] = len(self.next)
-                    self.next.append({})
-                    self.count.append({})
-                at = self.next[at][c]
+            if c == self.END:
+                return
+            i += 1
+            if c not in self.next[at]:
+                self.next[at][c] = self._new(classes, i)
+                return
+            at = self.next[at][c]
 
     def _compatible(self, a: int, b: int) -> bool:
         """Whether counts of both, and of the states that follow, may come from one source."""
         todo = [(a, b)]
         while todo:
             a, b = todo.pop()
+            if a in self.rest or b in self.rest:  # counts of 1 all the way: the bound is over any difference
+                continue
             x, y = self.count[a], self.count[b]
             n, m = sum(x.values()), sum(y.values())
             if not n or not m:
@@ -127,6 +147,10 @@ class Automaton:
         todo = [(a, b)]
         while todo:
             a, b = todo.pop()
+            if b in self.rest:
+                self._add(a, *self.rest[b])
+                continue
+            self._open(a)
             for c, k in self.count[b].items():
                 self.count[a][c] = self.count[a].get(c, 0) + k
             for c, child in self.next[b].items():
@@ -155,6 +179,7 @@ class Automaton:
         self.states = len(kept)
         self.next = [self.next[i] if i in seen else {} for i in range(len(self.next))]
         self.count = [self.count[i] if i in seen else {} for i in range(len(self.count))]
+        self.rest.clear()
         self.steps: dict[tuple[int, str], tuple[float, int]] = {}
 
     def _step(self, at: int, c: str) -> tuple[float, int]:
@@ -204,7 +229,7 @@ class Model:
 
 
 def fit(docs: DataFrame, text: str = "text", sample: int = 400) -> Model:
-    """Automata from a bounded sample: ``sample`` distinct values of each kind, each cut to 64 characters."""
+    """Automata from a bounded sample: ``sample`` distinct values of each kind, whole."""
     sampled = ("assign", "access", "hex", "word", "long word")
 
     def order(value: bytes) -> tuple[int, bytes]:
@@ -217,9 +242,9 @@ def fit(docs: DataFrame, text: str = "text", sample: int = 400) -> Model:
         for t in utf8(batch, "t"):
             spans = base_spans(t)
             for kind, _, _, value in spans:
-                found[kind].add(value[:64])
+                found[kind].add(value)
             for s, e in other_tokens(t, spans):
-                found["word" if e - s < LONG else "long word"].add(t[s:e][:64])
+                found["word" if e - s < LONG else "long word"].add(t[s:e])
         rows = [(k, v.decode()) for k, values in found.items() for v in heapq.nsmallest(sample, values, key=order)]
         return {"kind": [k for k, _ in rows], "value": [v for _, v in rows]}
 

@@ -424,6 +424,15 @@ def test_candidates_without_digits_and_short_ones_are_scored(spark):
     assert all(model.score_token(k.encode()) == model.score(k) for k in planted)
 
 
+def test_automata_learn_whole_values(spark):
+    texts = [f"digest {hashlib.sha512(str(i).encode()).hexdigest()} of plain-words-{i}" for i in range(60)]
+    hexes = secret_scan.fit(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).kinds["hex"]
+    ends, steps = sum(c.get("", 0) for c in hexes.count), sum(sum(c.values()) for c in hexes.count)
+    assert (ends, steps) == (60, 60 * 129)  # no end at 64
+    long = secret_scan.Automaton(["a" * 100_000 + str(i) for i in range(3)] + ["0b" * 50_000])
+    assert sum(sum(c.values()) for c in long.count) == 3 * 100_002 + 100_001
+
+
 def test_tagger_gradients_and_held_out_spans():
     r = np.random.default_rng(2)
     tagger = pii.Tagger(size=3, hidden=4)
