@@ -12,8 +12,9 @@ is estimated from the data; a poor estimate costs time, never a pair.
 1. Keys (prefix shingles) that two texts or more share are found by an aggregate (combined map-side). A block is all
    texts that share a key with the same pivot, the smallest text of that key; so a pair meets in few blocks.
 2. Blocks get R-trees over the counts of their texts. A block over ``tile`` texts is dealt to pairs of tiles, so no task
-   holds more than two tiles. The first round takes a spanning forest of the pairs that survive the bound: fewer pairs
-   than texts, so a large group of near copies costs its size, not its square. Copies had one node from the start.
+   holds more than two tiles. The first round takes a spanning forest of the pairs that survive the bound, so what is
+   verified of a large group of near copies is a forest per pair of tiles. Dealing is not: a block of B different texts
+   is sent B * B / ``tile`` times, and its trees list all fitting pairs of two tiles. Copies had one node from the start.
 3. The second round takes all surviving pairs between different components. Pairs inside a component cannot change it.
 Vectors travel with the keys; whole sets are made again from the texts for surviving pairs alone.
 
