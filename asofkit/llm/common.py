@@ -80,12 +80,49 @@ def thrifty(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]])
     return whole
 
 
-def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: str) -> DataFrame:
-    """Rows that ``fn`` makes of each Arrow batch, as a dict of columns in the schema's order."""
+def arrow_schema(ddl: str) -> pa.Schema:
+    """On the driver: it asks the session."""
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
-    arrow = to_arrow_schema(StructType.fromDDL(schema))
+    return to_arrow_schema(StructType.fromDDL(ddl))
+
+
+def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    for batch in batches:
+        yield from zip(*(c.to_pylist() for c in batch.columns), strict=True)
+
+
+def batches_of(rows: Iterator[tuple], schema: pa.Schema, size: int = 4_096, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """Rows as Arrow batches of ``size`` rows or about ``most`` bytes at most."""
+    held, weight = [], 0
+
+    def batch() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held, strict=True), schema, strict=True)], schema=schema)
+
+    for row in rows:
+        held.append(row)
+        weight += sum(len(x) if isinstance(x, (bytes, str)) else sum(map(len, x)) for x in row if isinstance(x, (bytes, str, list)))
+        if len(held) >= size or weight >= most:
+            yield batch()
+            held, weight = [], 0
+    if held:
+        yield batch()
+
+
+def map_rows(df: DataFrame, fn: Callable[[Iterator[tuple]], Iterator[tuple]], schema: str) -> DataFrame:
+    """``fn`` over the rows of each partition as they stream by."""
+    arrow = arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from batches_of(fn(rows_of(batches)), arrow)
+
+    return bounded(df).mapInArrow(thrifty(run), schema)
+
+
+def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: str) -> DataFrame:
+    """Rows that ``fn`` makes of each Arrow batch, as a dict of columns in the schema's order."""
+    arrow = arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -132,5 +169,18 @@ def digest_sample(df: DataFrame, n: int, key: Column) -> DataFrame:
     return df.orderBy(key).limit(n)
 
 
+def attach(rows: DataFrame, values: DataFrame, key: str, count: str, how: str = "inner", share: int = 1_000) -> DataFrame:
+    """``rows`` with the columns of ``values`` (one row per ``key``; ``count``: how many rows have it), but for ``count``.
+
+    Keys that more than one in ``share`` of all rows have are broadcast, at most ``share`` of them whatever the table; all others are
+    joined as the planner likes. So no key brings more than that part of the rows into one task. ``values``: a written table.
+    """
+    total = values.agg(F.sum(count)).first()[0] or 0
+    hot = F.broadcast(values.where(F.col(count) * share > total).drop(count))
+    cold = values.where(F.col(count) * share <= total).drop(count)
+    met = rows.join(hot, key)
+    return met.unionByName(rows.join(hot.select(key), key, "left_anti").join(cold, key, how).select(*met.columns))
+
+
 def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
