@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from asofkit.llm import bpe, exact_dedup, mixing, ngram_join, pii, quality_classifier, quality_rules, secret_scan, token_counts, url_filter
+from asofkit.llm import (
+    bpe, exact_dedup, mixing, ngram_join, pii, prefix_trie, quality_classifier, quality_rules, repair, secret_scan, simhash, token_counts, url_filter,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": secret_scan.op1_secret_scan,
@@ -19,6 +21,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": mixing.op8_mixing,
     "op9_ngram_join": ngram_join.op9_ngram_join,
     "op10_quality_rules": quality_rules.op10_quality_rules,
+    "op11_conversation_repair": repair.op11_conversation_repair,
+    "op12_prefix_trie": prefix_trie.op12_prefix_trie,
+    "op13_simhash_dedup": simhash.op13_simhash_dedup,
 }
 
 ORACLES: dict[str, str] = {"op5_exact_dedup": exact_dedup.OP5_SQL}
