@@ -10,7 +10,11 @@ row count, so a key, a day or an instant that holds a third of all rows spreads
 
 * Cut points come from a sample of (key, time), as in Spark's own range sort. They decide only which task does
   the work, never the result. Their number is that of rows / ``segment_rows``, about 24 bytes each (a few MB for
-  1e11 rows), so the driver may hold them; they are broadcast below the session's threshold, else joined by shuffle.
+  1e11 rows), so the driver may hold them.
+* A row finds its segment in an index of the cuts, level by level: a node of a key holds ``FAN`` cuts at most, so no row
+  meets a key's whole list, whatever its length. The roots of keys with over a thousandth of all cuts (a thousand at most) are
+  broadcast; every other level is broadcast below the session's threshold and else equi-joined on (key, node), where a
+  node stands for ``FAN`` segments, so a hot key does not gather in one task.
 * A segment starts with the last N observations before it ("carry"). These are found among the last N of each
   earlier segment, N x pieces rows at most, without moving the rest.
 * An instant that spans several cut points cannot be cut by time. Of its observations only the N that rank
@@ -30,7 +34,7 @@ from dataclasses import dataclass
 from functools import reduce
 from math import ceil
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,14 +46,24 @@ _MICROS_PER_HOUR = 3_600_000_000
 _START, _OBSERVATION, _PROBE = 0, 1, 2
 
 
+#: Cuts in a node of the index.
+FAN = 64
+#: Keys with more than one in so many of all cuts have their root broadcast.
+_HEAVY = 1_000
+
+
 @dataclass(frozen=True)
 class Splits:
-    """Cut points of hot keys: a frame (key columns, _cuts array, _mult array<int>), and its limits."""
+    """Cut points of hot keys: a frame (key columns, _cuts array, _mult array<int>), their index, and their limits.
+
+    index: per level, parts of (frame (keys, _node, _first array, at the leaves _times array<int>), bytes, heavy roots or not).
+    """
 
     frame: DataFrame
     pieces: int
     most_cuts: int
     has_instants: bool
+    index: tuple[tuple[tuple[DataFrame, int, bool], ...], ...] = ()
 
 
 def _keyed(df: DataFrame, by: Sequence[str], ts: str) -> DataFrame:
@@ -105,6 +119,7 @@ def find_splits(points: DataFrame, keys: Sequence[str], segment_rows: int, max_p
         pieces=pieces,
         most_cuts=max((len(r["_cuts"]) for r in rows), default=0),
         has_instants=any(m > 1 for r in rows for m in r["_mult"]),
+        index=_index(rows, cuts, len(keys)),
     )
 
 
@@ -112,10 +127,36 @@ _BYTES_PER_CUT = 24
 _UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
 
 
-def _broadcastable(splits: Splits) -> bool:
-    """Whether the cut points stay below the size up to which the session broadcasts."""
-    digits, unit = re.fullmatch(r"(-?\d+)([a-z]*)", splits.frame.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold").lower()).groups()
-    return splits.pieces * _BYTES_PER_CUT <= int(digits) * _UNITS[unit]
+def _index(rows: Sequence[Row], cuts: DataFrame, n_keys: int) -> tuple[tuple[tuple[DataFrame, int, bool], ...], ...]:
+    """Levels of the index from the root down. Node p of a level stands for ``wide`` cuts from the p-th ``wide`` on, and holds the
+    first cut of each of its children; a leaf holds its cuts themselves and the one that follows, and how often each is cut."""
+    spark, total = cuts.sparkSession, sum(len(r["_cuts"]) for r in rows)
+    schema = T.StructType([*cuts.schema.fields[:n_keys], T.StructField("_node", T.IntegerType()),
+                           T.StructField("_first", cuts.schema["_cuts"].dataType), T.StructField("_times", cuts.schema["_mult"].dataType)])
+    depth, most = 1, max((len(r["_cuts"]) for r in rows), default=0)
+    while FAN**depth < most:
+        depth += 1
+    levels = []
+    for level in range(depth):
+        wide, step = FAN ** (depth - level), FAN ** (depth - level - 1)
+        kinds: dict[bool, list] = {True: [], False: []}
+        for r in rows:
+            c, m = r["_cuts"], r["_mult"]
+            for at in range(0, len(c), wide):
+                first = c[at : at + wide + 1] if step == 1 else c[at : at + wide : step]
+                times = m[at : at + wide] if step == 1 else []
+                kinds[level == 0 and len(c) * _HEAVY > total].append((*r[:n_keys], at // wide, first, times))
+        levels.append(tuple(
+            (spark.createDataFrame(nodes, schema), _BYTES_PER_CUT * sum(len(n[-2]) + 1 for n in nodes), heavy)
+            for heavy, nodes in kinds.items() if nodes
+        ))
+    return tuple(levels)
+
+
+def _broadcastable(df: DataFrame, size: int) -> bool:
+    """Whether ``size`` bytes stay below the size up to which the session broadcasts."""
+    digits, unit = re.fullmatch(r"(-?\d+)([a-z]*)", df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold").lower()).groups()
+    return size <= int(digits) * _UNITS[unit]
 
 
 def _segmented(df: DataFrame, keys: Sequence[str], splits: Splits) -> DataFrame:
@@ -125,22 +166,33 @@ def _segmented(df: DataFrame, keys: Sequence[str], splits: Splits) -> DataFrame:
         return df.withColumns({
             "_seg": F.lit(0), "_end": F.lit(None).cast(df.schema["_t"].dataType), "_deal": F.lit(None).cast("int")
         })
-    steps = [1 << i for i in reversed(range(splits.most_cuts.bit_length()))]
-    # binary search; a probe past the end yields NULL and is not taken
+    # binary search in a node, FAN + 1 values at most; a probe past the end yields NULL and is not taken
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range((FAN + 1).bit_length()))])
     rank = F.aggregate(
-        F.array(*[F.lit(s) for s in steps]),
-        F.lit(0),
-        lambda low, s: F.when(F.get("_cuts", low + s - 1) <= F.col("_t"), low + s).otherwise(low),
-    )
-    last, mult = F.get("_cuts", F.col("_seg") - 1), F.get("_mult", F.col("_seg") - 1)
+        steps, F.lit(0), lambda low, s: F.when(F.get("_first", low + s - 1) <= F.col("_t"), low + s).otherwise(low))
+    out = df.withColumn("_node", F.when(_complete([*keys, "_t"]), 0))
+    for depth, parts in enumerate(splits.index):
+        found = []
+        for i, (nodes, size, heavy) in enumerate(parts):
+            small = heavy or _broadcastable(df, size)
+            named = nodes.withColumnsRenamed({"_first": f"_first{i}", "_times": f"_times{i}"})
+            out = out.join(F.broadcast(named) if small else named, [*keys, "_node"], "left")
+            found.append(i)
+        out = out.withColumns({
+            "_first": F.coalesce(*[F.col(f"_first{i}") for i in found]),
+            "_times": F.coalesce(*[F.col(f"_times{i}") for i in found]),
+        }).drop(*[f"_{x}{i}" for x in ("first", "times") for i in found]).withColumn("_rank", F.when(F.col("_first").isNotNull(), rank))
+        if depth < len(splits.index) - 1:
+            child = F.col("_node") * FAN + F.greatest(F.col("_rank") - 1, F.lit(0))
+            out = out.withColumn("_node", child).drop("_first", "_times", "_rank")
+    last, mult = F.get("_first", F.col("_rank") - 1), F.get("_times", F.col("_rank") - 1)
     return (
-        df.join(F.broadcast(splits.frame) if _broadcastable(splits) else splits.frame, list(keys), "left")
-        .withColumn("_seg", F.when(F.col("_cuts").isNull(), 0).otherwise(rank))
-        .withColumns({
-            "_end": F.get("_cuts", F.col("_seg")),
+        out.withColumns({
+            "_seg": F.coalesce(F.col("_node") * FAN + F.col("_rank"), F.lit(0)),
+            "_end": F.get("_first", F.col("_rank")),
             "_deal": F.when((last == F.col("_t")) & (mult > 1), mult),
         })
-        .drop("_cuts", "_mult")
+        .drop("_first", "_times", "_rank", "_node")
     )
 
 

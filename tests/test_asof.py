@@ -235,3 +235,39 @@ def test_hot_enrichment_is_cut(spark):
     flights = with_arrival(cleaning.clean_flights(raw_flights(spark, "/root/testdata/sf0.001")))
     points = _keyed(flights, ["ORIGIN_AIRPORT_ID"], "CRS_DEP_TIMESTAMP").select("_k0", "_t")
     assert find_splits(points, ["_k0"], segment_rows=20, max_pieces=None).pieces > 1
+
+
+@pytest.mark.parametrize("threshold", ["10MB", "-1"])
+def test_deep_index_of_cuts(spark, threshold):
+    """A key with thousands of cuts beside small ones: three levels, broadcast or joined by shuffle, place rows as the whole list would."""
+    from bisect import bisect_right
+
+    from pyspark.sql import functions as F
+
+    from asofkit.operators import asof
+
+    before, fan = spark.conf.get("spark.sql.autoBroadcastJoinThreshold"), asof.FAN
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    asof.FAN = 8
+    try:
+        points = spark.range(6_000).select(
+            F.when(F.col("id") % 5 > 0, 0).when(F.col("id") % 50 == 0, 2).when(F.col("id") % 55 > 0, 1).alias("_k0"),
+            F.when(F.col("id") % 977 > 0, F.timestamp_seconds(F.when(F.col("id") < 1_000, 500).otherwise(F.col("id")))).cast("timestamp_ntz").alias("_t"))
+        splits = asof.find_splits(points, ["_k0"], segment_rows=25, max_pieces=None)
+        assert len(splits.index) == 3 and splits.has_instants
+        cuts = {r["_k0"]: (r["_cuts"], r["_mult"]) for r in splits.frame.collect()}
+        placed = asof._segmented(points, ["_k0"], splits).collect()
+        assert len(placed) == 6_000
+        for r in placed:
+            c, m = cuts.get(r["_k0"], ([], []))
+            at = bisect_right(c, r["_t"]) if r["_t"] and r["_k0"] is not None else 0
+            deal = m[at - 1] if at and c[at - 1] == r["_t"] and m[at - 1] > 1 else None
+            assert (r["_seg"], r["_deal"]) == (at, deal)
+            assert r["_end"] == (c[at] if r["_t"] and at < len(c) else None)
+        plan = asof._segmented(points, ["_k0"], splits)._jdf.queryExecution().toString()
+        physical = plan[plan.index("== Physical Plan =="):]
+        # Only heavy roots are broadcast whatever the threshold.
+        assert physical.count("BroadcastHashJoin") == (1 if threshold == "-1" else 3)
+    finally:
+        asof.FAN = fan
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
