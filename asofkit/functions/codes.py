@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -25,13 +27,16 @@ LIGHT, PLAIN, HEAVY = 1, 2, 4
 def sky_altitudes(c: Column) -> Column:
     """All layer heights in feet, in text order; an empty array when there are none."""
     found = F.regexp_extract_all(c, F.lit(HEIGHT_PATTERN), F.lit(1))
-    return F.coalesce(F.transform(found, lambda h: h.cast("int") * 100), F.array().cast("array<int>"))
+    # "007" with two zeros is 700: a cast of the array, which is compiled, where a lambda would be interpreted
+    feet = F.split(F.concat(F.array_join(found, "00,"), F.lit("00")), ",").cast("array<int>")
+    return F.when(F.size(found) > 0, feet).otherwise(F.array().cast("array<int>"))
 
 
 def token_count(c: Column) -> Column:
     """Number of blank-separated tokens; 0 for NULL, blank or the missing mark."""
-    text = F.regexp_replace(c, r"^\s+|\s+$", "")
-    return F.when(text.isNull() | text.isin("", "M"), 0).otherwise(F.size(F.split(text, r"\s+")))
+    tokens = F.coalesce(F.regexp_count(c, F.lit(r"\S+")), F.lit(0))
+    missing = (tokens == 1) & (F.btrim(c, F.lit(" \t\n\x0b\f\r")) == "M")
+    return F.when(missing, 0).otherwise(tokens)
 
 
 def has_token(c: Column, token: str) -> Column:
@@ -41,36 +46,34 @@ def has_token(c: Column, token: str) -> Column:
 
 def mean_of(arr: Column) -> Column:
     """Mean of an int array as a double, NULL when empty."""
-    total = F.aggregate(arr, F.lit(0).cast("bigint"), lambda acc, x: acc + x)
-    return F.when(F.size(arr) > 0, total / F.size(arr))
+    few, n = 4, F.size(arr)
+    # few elements, as nearly always, are added up in compiled code; the general sum is interpreted
+    total = F.when(n <= few, reduce(lambda a, b: a + b, [F.coalesce(F.get(arr, F.lit(i)), F.lit(0)).cast("bigint") for i in range(few)])).otherwise(
+        F.aggregate(arr, F.lit(0).cast("bigint"), lambda acc, x: acc + x))
+    return F.when(n > 0, total / n)
 
 
-def code_digits(c: Column) -> Column:
-    """X5, first half: one digit per code of ``WEATHER_CODES``, its weight, in one text; the last duplicate wins.
+def code_list(c: Column) -> Column:
+    """X5, first half: the codes of a text from last to first, letters reversed, each followed by a digit, its weight.
 
-    Tokens are taken left to right, so a code is never found across the border of two others.
+    Tokens are taken left to right, so a code is never found across the border of two others; all else is a blank, which a
+    plain code finds in the place of its sign.
     """
-    none = F.lit("0" * len(WEATHER_CODES))
-    codes = F.lit(" ".join(WEATHER_CODES))
-
-    def put(digits: Column, token: Column) -> Column:
-        place = ((F.instr(codes, F.right(token, F.lit(2))) + 2) / 3).cast("int")
-        sign = F.left(token, F.lit(1))
-        weight = F.when(sign == "-", str(LIGHT)).when(sign == "+", str(HEAVY)).otherwise(str(PLAIN))
-        return F.when(place > 0, F.overlay(digits, weight, place, 1)).otherwise(digits)
-
-    tokens = F.regexp_extract_all(c, F.lit(CODE_PATTERN), F.lit(0))
-    return F.coalesce(F.aggregate(tokens, none, put), none)
+    tokens = F.regexp_replace(c, f"(?s){CODE_PATTERN}|.", " $1$2")
+    return F.coalesce(F.translate(F.reverse(tokens), "-+ ", f"{LIGHT}{HEAVY}{PLAIN}"), F.lit(""))
 
 
-def score_in(digits: Column, code: str) -> Column:
-    """X5, second half: the score of one code in ``code_digits``; 0 when it is absent.
+def score_in(listed: Column, code: str) -> Column:
+    """X5, second half: the score of one code in ``code_list``, its last one's if it is there more than once; 0 when it is absent.
 
-    Kept this small because 28 of them share one generated method, which the JVM only compiles below 8000 bytes.
+    Nearly all codes are absent, which a plain search tells. Kept this small because 28 of them share one generated method,
+    which the JVM only compiles below 8000 bytes.
     """
-    return F.ascii(F.substring(digits, WEATHER_CODES.index(code) + 1, 1)) - ord("0")
+    turned = code[::-1]
+    weight = F.ascii(F.substring(listed, F.instr(listed, turned) + len(code), F.lit(1))) - ord("0")
+    return F.when(F.contains(listed, F.lit(turned)), weight).otherwise(0)
 
 
 def weather_score(c: Column, code: str) -> Column:
-    """Score of one code in a weather text. For many codes, hold ``code_digits`` in a column first."""
-    return score_in(code_digits(c), code) if code in WEATHER_CODES else F.lit(0)
+    """Score of one code in a weather text. For many codes, hold ``code_list`` in a column first."""
+    return score_in(code_list(c), code) if code in WEATHER_CODES else F.lit(0)

@@ -40,6 +40,6 @@ def add_sky_features(df: DataFrame, sky: str = "SkyCondition") -> DataFrame:
 
 def add_weather_scores(df: DataFrame, weather: str = "WeatherType") -> DataFrame:
     """One intensity score column per weather code. The text is cut into codes once, then looked up."""
-    df = df.withColumn("_codes", codes.code_digits(F.col(weather)))
+    df = df.withColumn("_codes", codes.code_list(F.col(weather)))
     df = with_family(df, "wt_score_", codes.WEATHER_CODES, lambda code: codes.score_in(F.col("_codes"), code))
     return df.drop("_codes")
