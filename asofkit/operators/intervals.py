@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import datetime
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from asofkit.functions.clock import micros
-from asofkit.operators.asof import SEGMENT_ROWS, asof_lags
 
 _MICROS_PER_HOUR = 3_600_000_000
 
@@ -24,14 +24,13 @@ def interval_join(
     right_ts: str,
     right_by: Sequence[str] | str | None = None,
     hours: int = 12,
-    segment_rows: int = SEGMENT_ROWS,
 ) -> DataFrame:
     """Left join of each left row to all right rows of its key within ``[left_ts - hours, left_ts]``.
 
-    Time is cut into buckets of ``hours``; a left row looks into its own bucket and the one before, so only near
-    rows meet. The matching part is a plain inner equi-join on (key, bucket): the planner shuffles it itself, and
-    adaptive execution may split a hot bucket on both sides, which an outer join would not allow. Which left rows
-    match nothing is told by the as-of join, that forms no pairs.
+    Time is cut into buckets of ``hours``. A right row stands in its own bucket and in the next, so a left row finds all its
+    partners in its own bucket alone: one outer equi-join on (key, bucket), each side read and shuffled once, tells the matches
+    and the left rows without any. Adaptive execution splits a hot bucket on the left side. Left rows without key or
+    time match nothing; they are dealt over the tasks by their hash and input partition, never gathered.
     """
     by = [by] if isinstance(by, str) else list(by)
     right_by = by if right_by is None else [right_by] if isinstance(right_by, str) else list(right_by)
@@ -43,31 +42,27 @@ def interval_join(
     if clash:
         raise ValueError(f"rename columns present on both sides: {sorted(clash)}")
 
-    probes = asof_lags(
-        left, right.select(*right_by, right_ts), by=by, right_by=right_by, left_ts=left_ts, right_ts=right_ts,
-        tolerance_hours=hours, lags=0, payload=(), out="_latest", segment_rows=segment_rows,
-    )
-
-    def bucket(df: DataFrame, ts: str):
+    def bucket(df: DataFrame, ts: str) -> Column:
         zoneless = isinstance(df.schema[ts].dataType, T.TimestampNTZType)
         t = micros(F.col(ts), zoneless)
         return t - F.pmod(t, F.lit(width))
 
-    near = probes.where(F.col("_latest").isNotNull()).withColumns({
-        "_own": bucket(left, left_ts),
+    complete = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in (*by, left_ts)])
+    deal = F.xxhash64(*[f.name for f in left.schema if isinstance(f.dataType, T.AtomicType)], F.spark_partition_id())
+    probes = left.withColumns({
+        "_own": F.when(complete, bucket(left, left_ts)).otherwise(deal),
         "_from": F.timestamp_add("HOUR", F.lit(-hours), F.col(left_ts)),
-    }).withColumn("_b", F.explode(F.array(F.col("_own") - width, F.col("_own"))))
-    placed = right.select(
+    })
+    placed = right.na.drop(subset=[*right_by, right_ts]).select(
         *[F.col(c).alias(f"_k{i}") for i, c in enumerate(right_by)], *right_columns,
-        bucket(right, right_ts).alias("_b"),
+        F.explode(F.array(bucket(right, right_ts), bucket(right, right_ts) + width)).alias("_b"),
     )
-    keys = [near[c] == placed[f"_k{i}"] for i, c in enumerate(by)]
-    matched = near.join(
+    keys = [probes[c] == placed[f"_k{i}"] for i, c in enumerate(by)]
+    return probes.join(
         placed,
-        [*keys, near["_b"] == placed["_b"], placed[right_ts].between(near["_from"], near[left_ts])],
+        [*keys, probes["_own"] == placed["_b"], placed[right_ts].between(probes["_from"], probes[left_ts])],
+        "left",
     ).select(*left.columns, *right_columns)
-    unmatched = probes.where(F.col("_latest").isNull()).select(*left.columns)
-    return matched.unionByName(unmatched, allowMissingColumns=True)
 
 
 def time_bounds(df: DataFrame, first: str, *ends: str, hours_before: int = 0) -> tuple[datetime, datetime] | None:

@@ -190,12 +190,14 @@ def test_one_shuffle_when_small(spark):
     assert physical.count("hashpartitioning") == 1 and "Join" not in physical
 
 
-@pytest.mark.parametrize("segment_rows", [10_000, 20])
 @pytest.mark.parametrize("seed,keys", [(1, 1), (2, 4)])
-def test_interval_join_matches_brute_force(spark, seed, keys, segment_rows):
+def test_interval_join_matches_brute_force(spark, seed, keys):
     left, right = random_case(seed, keys, n=80)
     lf, rf = frames(spark, left, right)
-    got = interval_join(lf, rf, by="k", left_ts="t", right_ts="w", hours=6, segment_rows=segment_rows)
+    got = interval_join(lf, rf, by="k", left_ts="t", right_ts="w", hours=6)
+    plan = got._jdf.queryExecution().toString()
+    physical = plan[plan.index("== Physical Plan =="):]
+    assert "Window" not in physical and physical.count("Scan") == 2 and physical.count("Join") == 1
     want = Counter()
     for i, k, t in left:
         near = [] if k is None or t is None else [
@@ -225,16 +227,29 @@ def test_segments_stay_near_segment_rows(spark, partitions):
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
-def test_hot_enrichment_is_cut(spark):
-    """The frame of the query enrich_hot, at its segment_rows, has cuts under any number of shuffle partitions."""
-    from asofkit.checks.standins import raw_flights
+@pytest.mark.parametrize("partitions", ["8", "200"])
+def test_hot_enrichment_is_cut(spark, partitions):
+    """The frames that enrich_hot and enrich_hot_instants cut, flights and weather, under any number of shuffle partitions."""
+    from asofkit.checks.queries import folded_to_months
+    from asofkit.checks.standins import raw_flights, raw_stations, raw_weather
     from asofkit.operators.asof import _keyed, find_splits
     from asofkit.plans import cleaning
     from asofkit.plans.enrich import with_arrival
 
-    flights = with_arrival(cleaning.clean_flights(raw_flights(spark, "/root/testdata/sf0.001")))
-    points = _keyed(flights, ["ORIGIN_AIRPORT_ID"], "CRS_DEP_TIMESTAMP").select("_k0", "_t")
-    assert find_splits(points, ["_k0"], segment_rows=20, max_pieces=None).pieces > 1
+    d, before = "/root/testdata/sf0.001", spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        flights = cleaning.clean_flights(raw_flights(spark, d))
+        weather = cleaning.clean_weather(raw_weather(spark, d), cleaning.clean_station_map(raw_stations(spark, d)), flights)
+        for fold in (False, True):
+            f, w = folded_to_months(flights, weather) if fold else (flights, weather)
+            for key, ts in (("ORIGIN_AIRPORT_ID", "CRS_DEP_TIMESTAMP"), ("DEST_AIRPORT_ID", "CRS_ARR_TIMESTAMP")):
+                points = _keyed(with_arrival(f), [key], ts).select("_k0", "_t").unionByName(_keyed(w, ["AirportId"], "timestamp").select("_k0", "_t"))
+                splits = find_splits(points, ["_k0"], segment_rows=20, max_pieces=None)
+                assert splits.most_cuts > 0
+                assert splits.has_instants or not (fold and ts == "CRS_DEP_TIMESTAMP")
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
 @pytest.mark.parametrize("threshold", ["10MB", "-1"])
