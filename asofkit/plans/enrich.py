@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
+from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from asofkit.functions import clock
 from asofkit.operators.asof import SEGMENT_ROWS, asof_lags
-from asofkit.operators.intervals import time_bounds, within
+from asofkit.operators.intervals import within
 from asofkit.operators.lags import flatten_lags
 from asofkit.operators.shaping import require, sanitise_names, select_features
 from asofkit.plans.features import JOIN_FEATURES
@@ -45,6 +47,31 @@ def with_arrival(flights: DataFrame, zones: DataFrame | None = None) -> DataFram
     return df.withColumn("CRS_ARR_TIMESTAMP", clock.add_hours(F.col("CRS_ARR_TIMESTAMP"), shift)).select(*columns)
 
 
+@dataclass(frozen=True)
+class Seen:
+    """Rows of both tables, and the earliest and latest time of a flight (None if it has none)."""
+
+    flights: int
+    weather: int
+    first: datetime | None
+    last: datetime | None
+
+
+def flight_measures() -> dict[str, Column]:
+    """A1: the bounds of clean flights, for ``sources.tables.write_measured``. Arrivals by the clock of the origin."""
+    dep = F.col("CRS_DEP_TIMESTAMP")
+    arr = clock.add_minutes(dep, F.col("CRS_ELAPSED_TIME"))
+    return {"first": F.least(F.min(dep), F.min(arr)), "last": F.greatest(F.max(dep), F.max(arr))}
+
+
+def measured(timed: DataFrame, weather: DataFrame) -> Seen:
+    """``Seen`` of flights with their arrival, by one pass over their times, and of weather, whose count Parquet keeps."""
+    both = [F.col("CRS_DEP_TIMESTAMP"), F.col("CRS_ARR_TIMESTAMP")]
+    rows, first, last = timed.agg(
+        F.count(F.lit(1)), F.least(*map(F.min, both)), F.greatest(*map(F.max, both))).first()
+    return Seen(rows, weather.count(), first, last)
+
+
 def enrich(
     flights: DataFrame,
     weather: DataFrame,
@@ -57,24 +84,27 @@ def enrich(
     legacy_unmatched: bool = False,
     segment_rows: int = SEGMENT_ROWS,
     max_pieces: int | None = None,
+    seen: Seen | None = None,
 ) -> DataFrame:
     """One row per flight with ``weather_origin`` and ``weather_dest`` (array<struct>, newest first), or with
     ``lags`` = 0 ``weather_origin_single`` and ``weather_dest_single`` (struct).
 
     The rows that come out of the origin join go straight into the destination join: no surrogate id, no join
-    back. ``zones`` turns on the time-zone shift of arrivals.
+    back. ``zones`` turns on the time-zone shift of arrivals. ``seen``: what is known of both tables since they were written;
+    without it one pass over the flights' times and a count of the weather come first.
     """
     if lags < 0:
         raise ValueError(f"lags must not be negative: {lags}")
     timed = with_arrival(flights, zones)
-    bounds = time_bounds(timed, "CRS_DEP_TIMESTAMP", "CRS_ARR_TIMESTAMP", hours_before=hours)
+    seen = measured(timed, weather) if seen is None else seen
+    bounds = None if seen.first is None else (seen.first - timedelta(hours=hours), seen.last)
     observations, names = select_features(
         within(weather, "timestamp", bounds), "AirportId", "timestamp", features, extra=tie_break
     )
     ties = [c for c in tie_break if c in observations.columns]
     df, kind = timed, "" if lags else "_single"
     # Both joins see as many rows; where they are cut is measured without the zones' joins, as cuts never change results.
-    total, plain = flights.count() + observations.count(), with_arrival(flights)
+    total, plain = seen.flights + seen.weather, with_arrival(flights)
     for side, key, ts in (
         ("origin", "ORIGIN_AIRPORT_ID", "CRS_DEP_TIMESTAMP"),
         ("dest", "DEST_AIRPORT_ID", "CRS_ARR_TIMESTAMP"),

@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from asofkit.operators.asof import SEGMENT_ROWS
 from asofkit.operators.reducing import month_counts
 from asofkit.plans.cleaning import clean_flights, clean_station_map, clean_weather
-from asofkit.plans.enrich import enrich, flat_features
-from asofkit.plans.quality import quality_report
+from asofkit.plans.enrich import Seen, enrich, flat_features, flight_measures
+from asofkit.plans.quality import default_metrics, measured_report, measures, quality_report
 from asofkit.sources.tables import (
     MAX_RECORDS_PER_FILE,
     TablePaths,
@@ -20,6 +20,7 @@ from asofkit.sources.tables import (
     read_text_table,
     register_tables,
     through_table,
+    write_measured,
     write_month_counts,
     write_report,
     write_table,
@@ -62,27 +63,35 @@ class PipelineConfig:
 
 
 def prepare(spark: SparkSession, config: PipelineConfig) -> dict[str, int]:
-    """Write the three clean tables, register them, report on them. Returns rows written per table.
+    """Write the three clean tables, register them, report on them. Returns rows written per table."""
+    return {name: seen["rows"] for name, seen in prepare_measured(spark, config).items()}
 
-    Each stage reads back what the one before wrote, so no text is parsed twice.
+
+def prepare_measured(spark: SparkSession, config: PipelineConfig) -> dict[str, dict]:
+    """``prepare``; returns what was measured of each table while writing.
+
+    Each stage reads back what the one before wrote, so no text is parsed twice; the report and the join's bounds and
+    row counts come from the writes, so no table is scanned for them.
     """
-    paths = TablePaths(config.out_root)
+    paths, metrics = TablePaths(config.out_root), default_metrics()
     flights_glob, weather_glob = input_globs(config.flights_dir, config.weather_dir, config.sample_month)
-    rows = {}
-    rows["flight_clean"] = write_table(
-        clean_flights(read_text_table(spark, flights_glob)), paths.flights, config.fmt
-    )
-    rows["airport_timezone_clean"] = write_table(
-        clean_station_map(read_text_table(spark, config.station_csv)), paths.stations, config.fmt
-    )
-    rows["weather_clean"] = write_table(
+
+    def write(df: DataFrame, name: str, path: str, more: dict | None = None) -> dict:
+        return write_measured(df, path, measures(metrics[name]) | (more or {}), config.fmt)
+
+    seen = {
+        "flight_clean": write(clean_flights(read_text_table(spark, flights_glob)), "flight_clean", paths.flights, flight_measures()),
+        "airport_timezone_clean": write(
+            clean_station_map(read_text_table(spark, config.station_csv)), "airport_timezone_clean", paths.stations),
+    }
+    seen["weather_clean"] = write(
         clean_weather(
             read_text_table(spark, weather_glob),
             read_table(spark, paths.stations, config.fmt),
             read_table(spark, paths.flights, config.fmt),
             numeric_visibility=config.numeric_visibility,
         ),
-        paths.weather, config.fmt,
+        "weather_clean", paths.weather,
     )
     if config.database:
         register_tables(spark, config.database, {
@@ -90,18 +99,18 @@ def prepare(spark: SparkSession, config: PipelineConfig) -> dict[str, int]:
             "weather_clean": paths.weather,
             "airport_timezone_clean": paths.stations,
         }, config.fmt)
-    report(spark, config)
-    return rows
+    report(spark, config, None if config.exact_quality else seen)
+    return seen
 
 
-def report(spark: SparkSession, config: PipelineConfig) -> None:
-    """Write the quality report as JSON and CSV: counted once, written twice."""
+def report(spark: SparkSession, config: PipelineConfig, seen: dict[str, dict] | None = None) -> None:
+    """Write the quality report as JSON and CSV: from what was ``seen`` while writing, or counted once; written twice."""
     paths = TablePaths(config.out_root)
-    summary = quality_report({
-        "flight_clean": read_table(spark, paths.flights, config.fmt),
-        "weather_clean": read_table(spark, paths.weather, config.fmt),
-        "airport_timezone_clean": read_table(spark, paths.stations, config.fmt),
-    }, exact=config.exact_quality)
+    places = {"flight_clean": paths.flights, "weather_clean": paths.weather, "airport_timezone_clean": paths.stations}
+    if seen is None:
+        summary = quality_report({n: read_table(spark, p, config.fmt) for n, p in places.items()}, exact=config.exact_quality)
+    else:
+        summary = measured_report(spark, {n: seen[n] for n in places})
     with held(summary):
         write_report(summary, f"{paths.quality}/quality_summary.json", "json")
         write_report(summary, f"{paths.quality}/quality_summary.csv", "csv")
@@ -122,8 +131,14 @@ def report_months(spark: SparkSession, config: PipelineConfig) -> None:
         write_month_counts(counts, f"{paths.quality}/months/{name}_months.csv")
 
 
-def join(spark: SparkSession, config: PipelineConfig) -> DataFrame:
-    """Write the joined table, and the flat one when asked for; returns the joined table as written."""
+def join(spark: SparkSession, config: PipelineConfig, seen: dict[str, dict] | None = None) -> DataFrame:
+    """Write the joined table, and the flat one when asked for; returns the joined table as written.
+
+    ``seen``: what ``prepare`` measured. Arrivals moved to another zone are measured anew."""
+    known = None
+    if seen is not None and not config.tz_adjust:
+        flights = seen["flight_clean"]
+        known = Seen(flights["rows"], seen["weather_clean"]["rows"], flights["first"], flights["last"])
     paths = TablePaths(config.out_root)
     zones = read_table(spark, paths.stations, config.fmt) if config.tz_adjust else None
     joined = through_table(
@@ -132,6 +147,7 @@ def join(spark: SparkSession, config: PipelineConfig) -> DataFrame:
             read_table(spark, paths.weather, config.fmt),
             hours=config.hours, lags=config.lags, zones=zones,
             legacy_unmatched=config.legacy_unmatched, segment_rows=config.segment_rows, max_pieces=config.max_pieces,
+            seen=known,
         ),
         paths.joined(config.lags), config.fmt, MAX_RECORDS_PER_FILE,
     )
@@ -142,14 +158,13 @@ def join(spark: SparkSession, config: PipelineConfig) -> DataFrame:
 
 def run_pipeline(spark: SparkSession, config: PipelineConfig) -> DataFrame | None:
     """Run the job; returns the joined table, or None for modes that do not join."""
-    if config.mode in ("prepare", "all"):
-        prepare(spark, config)
+    seen = prepare_measured(spark, config) if config.mode in ("prepare", "all") else None
     if config.mode == "quality":
         report(spark, config)
         return None
     if config.mode == "prepare":
         return None
-    joined = join(spark, config)
+    joined = join(spark, config, seen)
     if config.month_report:
         report_months(spark, config)
     return joined

@@ -5,13 +5,15 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 MAX_RECORDS_PER_FILE = 5_000_000
 
@@ -62,19 +64,96 @@ def read_text_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("header", True).option("inferSchema", False).option("enforceSchema", False).csv(path)
 
 
+_BROKEN = "_broken_line"
+
+
+def read_checked_text(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """S1-S3 with quarantine: (rows, broken). A line with too few or too many fields is no row with shifted values: it goes, as it is,
+    to ``broken`` (file, line). All columns are read for that, so a projection saves no parsing."""
+    columns = read_text_table(spark, path).schema
+    reader = (spark.read.schema(T.StructType([*columns.fields, T.StructField(_BROKEN, T.StringType())]))
+              .option("header", True).option("enforceSchema", False).option("mode", "PERMISSIVE")
+              .option("columnPruning", False).option("columnNameOfCorruptRecord", _BROKEN))
+    lines = reader.csv(path)
+    # Another column is asked for as well: the reader refuses a query of the broken text alone.
+    other = F.length(F.coalesce(F.col(columns.names[0]), F.lit(""))) >= 0
+    broken = lines.where(F.col(_BROKEN).isNotNull() & other).select(F.input_file_name().alias("file"), F.col(_BROKEN).alias("line"))
+    return lines.where(F.col(_BROKEN).isNull() & other).select(*columns.names), broken
+
+
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """A table written by ``write_table``."""
     return spark.read.format(fmt).load(path)
 
 
-def write_table(df: DataFrame, path: str, fmt: str = "parquet", max_records: int | None = None) -> int:
-    """Overwrite a table; returns its row count, taken while writing instead of by a second pass."""
+def write_measured(df: DataFrame, path: str, measures: Mapping[str, Column], fmt: str = "parquet", max_records: int | None = None) -> dict:
+    """Overwrite a table; returns what ``measures`` (aggregates without DISTINCT) say of its rows, taken while
+    writing, so no second pass reads them."""
     seen = Observation(f"rows_{uuid.uuid4().hex}")
-    writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.format(fmt).mode("overwrite")
+    writer = df.observe(seen, *[c.alias(n) for n, c in measures.items()]).write.format(fmt).mode("overwrite")
     if max_records is not None:
         writer = writer.option("maxRecordsPerFile", max_records)
     writer.save(path)
-    return seen.get["rows"]
+    return seen.get
+
+
+def write_table(df: DataFrame, path: str, fmt: str = "parquet", max_records: int | None = None) -> int:
+    """Overwrite a table; returns its row count, taken while writing instead of by a second pass."""
+    return write_measured(df, path, {"rows": F.count(F.lit(1))}, fmt, max_records)["rows"]
+
+
+MONTH = "month"
+
+
+def write_months(df: DataFrame, path: str, day: str, fmt: str = "parquet") -> None:
+    """Write a table by month (a folder ``month=yyyyMM`` each, of ``day``). Months in ``df`` replace theirs, all others stay, so
+    months may come one by one and again.
+    """
+    monthly = df.withColumn(MONTH, F.date_format(F.col(day), "yyyyMM"))
+    (monthly.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(MONTH).save(path))
+
+
+def read_months(spark: SparkSession, path: str, fmt: str = "parquet", first: str | None = None, last: str | None = None) -> DataFrame:
+    """a table written by ``write_months``, its months from ``first`` to ``last`` (yyyyMM) alone: other folders are not listed
+    as files to read. Without bounds all, rows without a day included."""
+    df = spark.read.schema(_month_as_text(spark, path, fmt)).format(fmt).load(path)
+    if first is not None:
+        df = df.where(F.col(MONTH) >= first)
+    return df if last is None else df.where(F.col(MONTH) <= last)
+
+
+def _month_as_text(spark: SparkSession, path: str, fmt: str) -> T.StructType:
+    found = spark.read.format(fmt).load(path).schema
+    return T.StructType([T.StructField(f.name, T.StringType()) if f.name == MONTH else f for f in found])
+
+
+def read_months_within(spark: SparkSession, path: str, day: str, bounds: tuple[datetime, datetime] | None, fmt: str = "parquet") -> DataFrame:
+    """rows of a month table whose ``day`` lies within bounds: first by folder, then by the files' statistics."""
+    from asofkit.operators.intervals import within
+
+    first, last = (None, None) if bounds is None else (b.strftime("%Y%m") for b in bounds)
+    return within(read_months(spark, path, fmt, first, last), day, bounds)
+
+
+def register_months(spark: SparkSession, database: str, name: str, path: str, fmt: str = "parquet") -> None:
+    """K4: a month table in the catalog, with its partitions as they are now."""
+    schema = _month_as_text(spark, path, fmt)
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+    quoted, full = path.replace("\\", "\\\\").replace("'", "\\'"), f"{database}.{name}"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    if spark.catalog.tableExists(full):
+        spark.sql(f"ALTER TABLE {full} SET LOCATION '{quoted}'")
+    else:
+        spark.sql(f"CREATE TABLE {full} ({columns}) USING {fmt} PARTITIONED BY ({MONTH}) LOCATION '{quoted}'")
+    spark.sql(f"ALTER TABLE {full} RECOVER PARTITIONS")
+    spark.catalog.refreshTable(full)
+
+
+def write_colocated(df: DataFrame, table: str, by: str, buckets: int, sort: Sequence[str] = ()) -> DataFrame:
+    """A catalog table in ``buckets`` hash buckets by one key, each sorted by it: tables with as many buckets meet on the key
+    without an exchange. One task writes one bucket, so there is a file per bucket."""
+    (df.repartition(buckets, by).write.mode("overwrite").format("parquet").bucketBy(buckets, by).sortBy(by, *sort).saveAsTable(table))
+    return df.sparkSession.table(table)
 
 
 def through_table(df: DataFrame, path: str, fmt: str = "parquet", max_records: int | None = None) -> DataFrame:
