@@ -5,9 +5,10 @@ from __future__ import annotations
 import re
 
 from asofkit.functions.codes import SKY_PREFIXES, WEATHER_CODES
+from asofkit.plans.features import JOIN_FEATURES
 
 FLIGHTS = (
-    "flights AS (SELECT event_id, user_id, ts, value, (user_id + 37) % 150 AS dest_id FROM events"
+    "flights AS (SELECT event_id, user_id, ts, value, (user_id + 37) % (SELECT max(user_id) + 1 FROM events) AS dest_id FROM events"
     " WHERE event_type = 'purchase')"
 )
 OBS = "obs AS (SELECT user_id, ts AS ots, event_id AS obs_id, value AS oval FROM events WHERE event_type <> 'purchase')"
@@ -80,7 +81,8 @@ def sky_text(n: str) -> str:
         return f"lpad(({n} % {m})::VARCHAR, 3, '0')"
     return (
         f"CASE {n} % 8 WHEN 0 THEN 'CLR' WHEN 1 THEN 'FEW' || {height(1000)}"
-        f" WHEN 2 THEN 'SCT014 OVC' || {height(500)} || 'CB' WHEN 4 THEN 'M'"
+        f" WHEN 2 THEN 'SCT014 OVC' || {height(500)} || 'CB'"
+        f" WHEN 4 THEN CASE WHEN {n} % 16 = 4 THEN 'M' ELSE {height(1000)} || '/' || {height(1000)} || ' SCT' || {height(90)} END"
         f" WHEN 5 THEN ' BKN020  OVC060TCU ' WHEN 6 THEN 'VV' || {height(30)}"
         f" WHEN 7 THEN 'FEW' || {height(90)} || ' SCT' || {height(200)} || ' BKN' || {height(350)} END"
     )
@@ -94,7 +96,9 @@ def weather_text(n: str) -> str:
 
 
 def heights(sky: str) -> str:
-    return f"list_transform(regexp_extract_all({sky}, '\\d{{3}}'), lambda h: h::BIGINT * 100)"
+    # digits beside a slash begin or end no height
+    bare = f"regexp_replace(regexp_replace({sky}, '/\\d', '/x', 'g'), '\\d/', 'x/', 'g')"
+    return f"list_transform(regexp_extract_all({bare}, '\\d{{3}}'), lambda h: h::BIGINT * 100)"
 
 
 def layers(sky: str) -> str:
@@ -148,7 +152,7 @@ CLEAN_FLIGHTS = (
     f"fc AS (SELECT event_id, strftime(moved, '%Y%m') AS file_month, {FL_DATE} AS FL_DATE, event_type AS OP_CARRIER,"
     f" {CRS} AS CRS_DEP_TIME,"
     " try_cast(event_id % 40000 AS SMALLINT)::BIGINT AS OP_CARRIER_FL_NUM,"
-    " CASE WHEN event_id % 101 <> 0 THEN user_id END AS ORIGIN_AIRPORT_ID, (user_id + 38) % 150 AS DEST_AIRPORT_ID,"
+    " CASE WHEN event_id % 101 <> 0 THEN user_id END AS ORIGIN_AIRPORT_ID, (user_id + 38) % (SELECT max(user_id) + 1 FROM events) AS DEST_AIRPORT_ID,"
     " CASE WHEN event_id % 71 <> 0 THEN value::VARCHAR::FLOAT::DOUBLE END AS CRS_ELAPSED_TIME,"
     " CASE WHEN event_id % 3 = 0 THEN (event_id % 180)::DOUBLE END AS ARR_DELAY_NEW,"
     " CASE WHEN event_id % 5 = 0 THEN event_id % 60 ELSE 0 END::DOUBLE AS WEATHER_DELAY,"
@@ -188,20 +192,37 @@ CLEAN_WEATHER = (
 )
 CLEAN = f"WITH {SHIFTED}, {CLEAN_FLIGHTS}, {CLEAN_STATIONS}, {ALLOWED}, {CLEAN_WEATHER}"
 
+
+
+def weather_columns() -> dict[str, str]:
+    """SQL of every feature of the clean weather over ``wc``; whole numbers and reals as they are."""
+    measures = {
+        "DryBulbFarenheit": "dry", "WetBulbFarenheit": "wet", "DewPointFarenheit": "dew", "Altimeter": "alt", "SeaLevelPressure": "NULL::DOUBLE",
+        "StationPressure": "station_p", "HourlyPrecip": "precip", "RelativeHumidity": "hum", "WindSpeed": "wind", "WindDirection": "wdir",
+        "ValueForWindCharacter": "wchar", "PressureTendency": "tend", "PressureChange": "change", "Visibility": "'10.00'",
+    }
+    sky = {
+        "sky_num_layers": layers("sky"), "sky_min_altitude": f"list_min({heights('sky')})", "sky_max_altitude": f"list_max({heights('sky')})",
+        "sky_mean_altitude": mean_height("sky"), **{f"sky_has_{c}": f"coalesce(contains(sky, '{c}'), false)" for c in ("CB", "TCU")},
+        **{f"sky_has_{c}": f"contains(sky, '{c}')" for c in SKY_PREFIXES},
+    }
+    return measures | sky | {f"wt_score_{c}": score("wt", c) for c in WEATHER_CODES}
+
+
 CLEAN_WEATHER_ROWS = CLEAN + (
-    " SELECT epoch_us(w_ts) AS at_us, '10.00' AS Visibility, '0' AS StationType, contains(sky, 'OVC') AS sky_has_OVC,"
-    " WBAN, AirportId, hum AS RelativeHumidity, wind AS WindSpeed, wdir AS WindDirection,"
-    " wchar AS ValueForWindCharacter, tend AS PressureTendency, change AS PressureChange,"
-    f" {layers('sky')} AS sky_num_layers, list_max({heights('sky')}) AS sky_max_altitude,"
-    + ", ".join(f"{score('wt', c)} AS wt_score_{c}" for c in ("RA", "TS", "FC")) +
-    ", dry AS DryBulbFarenheit, wet AS WetBulbFarenheit, dew AS DewPointFarenheit, alt AS Altimeter,"
-    f" NULL::DOUBLE AS SeaLevelPressure, station_p AS StationPressure, precip AS HourlyPrecip,"
-    f" {mean_height('sky')} AS sky_mean_altitude FROM wc"
+    " SELECT epoch_us(w_ts) AS at_us, '0' AS StationType, file_month, sky AS SkyCondition, wt AS WeatherType, WBAN, AirportId, "
+    + ", ".join(f"{v} AS {c}" for c, v in weather_columns().items()) + " FROM wc"
 )
 
 
-def joined(lags: int, month: str | None = None, shift: bool = False) -> str:
+def joined(lags: int, month: str | None = None, shift: bool = False, fold: bool = False) -> str:
     """CTEs up to ``o`` and ``d``: the ranked matches of each side, and ``f``: flights with their arrival."""
+    best, before, seen = "dry DESC NULLS LAST, wet DESC", "fc", "wc"
+    if fold:  # many observations of a station at one time: all features rank them
+        best = ", ".join(f"{weather_columns()[f]} DESC NULLS LAST" for f in JOIN_FEATURES)
+        before = ("(SELECT * REPLACE (ORIGIN_AIRPORT_ID % 2 AS ORIGIN_AIRPORT_ID, DEST_AIRPORT_ID % 2 AS DEST_AIRPORT_ID,"
+                  " date_trunc('month', dep)::TIMESTAMP AS dep) FROM fc)")
+        seen = "(SELECT * REPLACE (AirportId % 2 AS AirportId, date_trunc('month', w_ts)::TIMESTAMP AS w_ts) FROM wc)"
     only = f" WHERE file_month = '{month}'" if month else ""
     arrival = "dep + to_seconds(trunc(CRS_ELAPSED_TIME * 60)::BIGINT)"
     if shift:
@@ -214,13 +235,13 @@ def joined(lags: int, month: str | None = None, shift: bool = False) -> str:
     sides = []
     for name, key, t in (("o", "ORIGIN_AIRPORT_ID", "dep"), ("d", "DEST_AIRPORT_ID", "arr")):
         sides.append(
-            f"{name} AS (SELECT * FROM (SELECT f.event_id AS fid, w_ts, dry, wind, sky, wt, row_number() OVER"
-            " (PARTITION BY f.event_id ORDER BY w_ts DESC, w.WBAN DESC, dry DESC NULLS LAST, wet DESC) - 1 AS k"
+            f"{name} AS (SELECT * FROM (SELECT f.event_id AS fid, w.*, row_number() OVER"
+            f" (PARTITION BY f.event_id ORDER BY w_ts DESC, w.WBAN DESC, {best}) - 1 AS k"
             f" FROM f JOIN w ON w.AirportId = f.{key} AND w_ts <= f.{t} AND w_ts >= f.{t} - INTERVAL 12 HOUR)"
             f" WHERE k < {lags})"
         )
-    return (f"WITH {SHIFTED}, {fc}, {CLEAN_STATIONS}, {ALLOWED}, {wc}, f AS (SELECT *, {arrival} AS arr FROM fc),"
-            f" w AS (SELECT * FROM wc{only}), " + ", ".join(sides) + " ")
+    return (f"WITH {SHIFTED}, {fc}, {CLEAN_STATIONS}, {ALLOWED}, {wc}, f AS (SELECT *, {arrival} AS arr FROM {before}),"
+            f" w AS (SELECT * FROM {seen}{only}), " + ", ".join(sides) + " ")
 
 
 def per_flight(**kw) -> str:
@@ -240,6 +261,35 @@ def per_flight(**kw) -> str:
             + ", ".join(picks) + " FROM f" + "".join(parts))
 
 
+def all_features() -> str:
+    plain = {f: v if f == "Visibility" or f.startswith("sky_has_") else f"({v})::DOUBLE" for f, v in weather_columns().items() if f in JOIN_FEATURES}
+    rows = [f"SELECT OP_CARRIER_FL_NUM AS fl_num, epoch_us(f.dep) AS dep_us, '{side}' AS side, k, epoch_us(w_ts) AS w_us, "
+            + ", ".join(f"{v} AS {f}" for f, v in plain.items()) + f" FROM f JOIN {name} ON {name}.fid = f.event_id"
+            for side, name in (("origin", "o"), ("dest", "d"))]
+    return joined(7) + " UNION ALL ".join(rows)
+
+
+def legacy() -> str:
+    picks, parts = [], []
+    for side, name in (("origin", "o"), ("dest", "d")):
+        picks.append(f"coalesce({side}.n, 1) AS {side}_n, {side}.n IS NULL AS {side}_blank")
+        parts.append(f" LEFT JOIN (SELECT fid, count(*) AS n FROM {name} GROUP BY fid) AS {side} ON {side}.fid = f.event_id")
+    return joined(3) + "SELECT OP_CARRIER_FL_NUM AS fl_num, epoch_us(f.dep) AS dep_us, " + ", ".join(picks) + " FROM f" + "".join(parts)
+
+
+def flat_all() -> str:
+    rows, lags = [], [f"lag{k}" for k in range(7)]
+    for side, name in (("orig", "o"), ("dest", "d")):
+        for f, v in weather_columns().items():
+            if f not in JOIN_FEATURES or f == "Visibility" or f.startswith("sky_has_"):
+                continue
+            picks = ", ".join(f"max(CASE WHEN k = {k} THEN ({v})::DOUBLE END) AS lag{k}" for k in range(7))
+            rows.append(f"SELECT OP_CARRIER_FL_NUM AS fl_num, epoch_us(f.dep) AS dep_us, '{side}' AS side, '{f}' AS feature, {', '.join(lags)},"
+                        f" least({', '.join(lags)}) AS min, greatest({', '.join(lags)}) AS max, round(({' + '.join(lags)}) / 7, 6) AS avg,"
+                        f" round(lag0 - lag6, 6) AS delta FROM f LEFT JOIN (SELECT fid, {picks} FROM {name} GROUP BY fid) AS s ON s.fid = f.event_id")
+    return joined(7) + " UNION ALL ".join(rows)
+
+
 def single() -> str:
     picks, parts = [], []
     for side, name in (("origin", "o"), ("dest", "d")):
@@ -278,6 +328,18 @@ QUALITY = CLEAN + (
 )
 
 
+def job_reports() -> str:
+    columns = re.findall(r"AS ((?:rows|non_null_\w+|distinct_\w+))", QUALITY.partition("'flight_clean' AS dataset")[2].partition(" UNION ALL ")[0])
+    parts = [f"SELECT 'report' AS kind, dataset AS name, '{c}' AS item, {c} AS value FROM q" for c in columns]
+    for name in ("flight_clean", "join_intermediate_lag2", "join_flat_lag2"):
+        parts.append(f"SELECT 'months', '{name}', FL_DATE[:7], count(*) FROM fc GROUP BY FL_DATE[:7]")
+    parts.append("SELECT 'months', 'weather_clean', strftime(w_ts, '%Y-%m'), count(*) FROM wc GROUP BY 3")
+    for name, rows in (("flight_clean", "fc"), ("weather_clean", "wc"), ("airport_timezone_clean", "sm")):
+        parts.append(f"SELECT 'catalog', '{name}', 'rows', count(*) FROM {rows}")
+    cte, _, query = QUALITY.partition(" SELECT 'flight_clean' AS dataset")
+    return f"{cte}, q AS (SELECT 'flight_clean' AS dataset{query}) " + " UNION ALL ".join(parts)
+
+
 def quality_close() -> str:
     """The exact counts, each with a flag that holds wherever there is a count."""
     counts = re.findall(r"AS ((?:rows|non_null_\w+|distinct_\w+))", QUALITY.partition("'flight_clean' AS dataset")[2].partition(" UNION ALL ")[0])
@@ -382,4 +444,30 @@ ALL = {
         "SELECT o_orderstatus, count(*) AS n, (SELECT count(*) FROM orders) AS written FROM orders GROUP BY 1"
     ),
     "pipeline_month": per_flight(month="202401"),
+    "pipeline_all": per_flight(),
+    "pipeline_reports": job_reports(),
+    "enrich_all_features": all_features(),
+    "enrich_legacy": legacy(),
+    "enrich_hot_instants": per_flight(fold=True),
+    "flat_all_features": flat_all(),
+    "measured_write": (
+        "SELECT 'lineitem' AS dataset, count(*) AS rows, count(CASE WHEN l_shipdate > TIMESTAMP '1998-01-01' THEN 1 END) AS non_null_late,"
+        " count(DISTINCT l_suppkey) AS suppliers, true AS close, epoch_us(min(l_shipdate)) AS first_us, epoch_us(max(l_shipdate)) AS last_us FROM lineitem"
+    ),
+    "month_tables": (
+        "WITH t AS (SELECT o_orderkey, o_orderdate, strftime(o_orderdate, '%Y%m') AS month, o_totalprice + CASE WHEN strftime(o_orderdate, '%Y%m') ="
+        " (SELECT max(strftime(o_orderdate, '%Y%m')) FROM orders) THEN 1 ELSE 0 END AS price FROM orders)"
+        " SELECT 'catalog' AS read, o_orderkey, month, round(price, 2) AS price FROM t UNION ALL SELECT 'within', o_orderkey, month, round(price, 2) FROM t"
+        " WHERE o_orderdate BETWEEN (SELECT min(o_orderdate) + INTERVAL 180 DAY FROM orders) AND (SELECT max(o_orderdate) - INTERVAL 180 DAY FROM orders)"
+    ),
+    "colocated_flights": CLEAN + (
+        " SELECT OP_CARRIER_FL_NUM AS fl_num, ORIGIN_AIRPORT_ID AS airport, epoch_us(dep) AS dep_us FROM fc"
+        " WHERE ORIGIN_AIRPORT_ID IN (SELECT AirportId FROM wc)"
+    ),
+    "month_sketches": "SELECT strftime(o_orderdate, '%Y') AS span, count(DISTINCT o_custkey) AS customers, true AS close FROM orders GROUP BY 1",
+    "quarantined_lines": (
+        "SELECT CASE WHEN o_orderkey % 40 > 1 THEN o_orderkey::VARCHAR END AS o_orderkey, CASE WHEN o_orderkey % 40 > 1 THEN o_orderstatus END AS o_orderstatus,"
+        " CASE WHEN o_orderkey % 40 > 1 THEN o_orderpriority END AS o_orderpriority, CASE o_orderkey % 40 WHEN 0 THEN o_orderkey || ',' || o_orderstatus"
+        " WHEN 1 THEN o_orderkey || ',' || o_orderstatus || ',' || o_orderpriority || ',more' END AS line FROM orders"
+    ),
 }

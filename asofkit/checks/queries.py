@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,9 +17,11 @@ from asofkit.operators.asof import asof_lags
 from asofkit.operators.intervals import interval_join, time_bounds, within
 from asofkit.operators.lags import flatten_lags
 from asofkit.plans import cleaning, enrich as enriching
-from asofkit.plans.features import add_sky_features, add_weather_scores
+from asofkit.plans.features import JOIN_FEATURES, add_sky_features, add_weather_scores
 from asofkit.plans.pipeline import PipelineConfig, run_pipeline
-from asofkit.plans.quality import Metrics, quality_report, report_schema
+from asofkit.plans.quality import (
+    REPORT_COLUMNS, Metrics, distinct_of_months, measured_report, measures, month_sketches as sketches_of, quality_report, report_schema,
+)
 from asofkit.sources import tables as io
 
 LONG, DOUBLE = "bigint", "double"
@@ -226,14 +231,13 @@ def _weather(spark: SparkSession, d: str) -> DataFrame:
 
 
 def clean_weather(spark: SparkSession, d: str) -> DataFrame:
-    """Z3: P2, F4, F7, F8, J2, X7, X8 on the derived raw weather."""
+    """Z3: P2, F4, F7, F8, J2, X7, X8 on the derived raw weather; every column of the clean table."""
     df = _weather(spark, d)
-    whole = ("WBAN", "AirportId", "RelativeHumidity", "WindSpeed", "WindDirection", "ValueForWindCharacter",
-             "PressureTendency", "PressureChange", "sky_num_layers", "sky_max_altitude", "wt_score_RA",
-             "wt_score_TS", "wt_score_FC")
+    text, flags = ("Visibility", "StationType", "SkyCondition", "WeatherType", "file_month"), [c for c in df.columns if c.startswith("sky_has_")]
     real = ("DryBulbFarenheit", "WetBulbFarenheit", "DewPointFarenheit", "Altimeter", "SeaLevelPressure",
             "StationPressure", "HourlyPrecip", "sky_mean_altitude")
-    return df.select(us("timestamp").alias("at_us"), "Visibility", "StationType", "sky_has_OVC",
+    whole = [c for c in df.columns if c not in (*text, *flags, *real, "timestamp")]
+    return df.select(us("timestamp").alias("at_us"), *text, *flags,
                      *[F.col(c).cast(LONG).alias(c) for c in whole], *[F.col(c).cast(DOUBLE).alias(c) for c in real])
 
 
@@ -293,16 +297,27 @@ def picked_features(spark: SparkSession, d: str) -> DataFrame:
 # --- enrichment
 
 def _enriched(spark: SparkSession, d: str, lags: int, **kw) -> DataFrame:
-    """Z4 over clean tables that are written first (K1, K6, S4), as the job does."""
+    """Z4 over clean tables that are written first (K1, K6, S4), as the job does. ``fold``: two airports, times cut to months."""
     paths = io.TablePaths(io.scratch_dir(spark))
     flights = io.through_table(cleaning.clean_flights(raw_flights(spark, d)), paths.flights)
     stations = io.through_table(cleaning.clean_station_map(raw_stations(spark, d)), paths.stations)
     weather = io.through_table(cleaning.clean_weather(raw_weather(spark, d), stations, flights), paths.weather)
     if kw.pop("shift", False):
         kw["zones"] = stations
+    if kw.pop("fold", False):
+        flights, weather = folded_to_months(flights, weather)
     return enriching.enrich(flights, weather, lags=lags, **kw)
 
 
+def folded_to_months(flights: DataFrame, weather: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Clean tables of two airports whose times are months: every group is hot and made of ties."""
+    def cut(c: str) -> Column:
+        return F.trunc(c, "month").cast("timestamp_ntz")
+    airports = {c: (F.col(c) % 2).cast("smallint") for c in ("ORIGIN_AIRPORT_ID", "DEST_AIRPORT_ID")}
+    return (flights.withColumns(airports | {"CRS_DEP_TIMESTAMP": cut("CRS_DEP_TIMESTAMP")}),
+            weather.withColumns({"AirportId": (F.col("AirportId") % 2).cast("smallint"), "timestamp": cut("timestamp")}))
+
+
 def _per_flight(joined: DataFrame) -> DataFrame:
     columns = [F.col("OP_CARRIER_FL_NUM").cast(LONG).alias("fl_num"), us("CRS_DEP_TIMESTAMP").alias("dep_us"),
                us("CRS_ARR_TIMESTAMP").alias("arr_us")]
@@ -329,6 +344,11 @@ def enrich_hot(spark: SparkSession, d: str) -> DataFrame:
     return _per_flight(_enriched(spark, d, 7, segment_rows=20))
 
 
+def enrich_hot_instants(spark: SparkSession, d: str) -> DataFrame:
+    """Z4 on two airports whose times are cut to months, in segments of 20 rows: instants span several cuts on both sides."""
+    return _per_flight(_enriched(spark, d, 7, segment_rows=20, fold=True))
+
+
 def enrich_zone_shift(spark: SparkSession, d: str) -> DataFrame:
     """Z4 with arrivals moved to the clock of the destination."""
     return _per_flight(_enriched(spark, d, 7, shift=True))
@@ -345,6 +365,45 @@ def enrich_single(spark: SparkSession, d: str) -> DataFrame:
     return one.select(*columns)
 
 
+def enrich_all_features(spark: SparkSession, d: str) -> DataFrame:
+    """A row per flight, side and lag with all 33 features."""
+    joined = _enriched(spark, d, 7).select(
+        F.col("OP_CARRIER_FL_NUM").cast(LONG).alias("fl_num"), us("CRS_DEP_TIMESTAMP").alias("dep_us"), "weather_origin", "weather_dest")
+    sides = [joined.select("fl_num", "dep_us", F.lit(side).alias("side"), F.posexplode(f"weather_{side}").alias("k", "o"))
+             for side in ("origin", "dest")]
+    rows = sides[0].unionByName(sides[1])
+
+    def shown(f: str) -> Column:
+        return F.col(f"o.{f}") if f == "Visibility" or f.startswith("sky_has_") else F.col(f"o.{f}").cast(DOUBLE)
+
+    return rows.select("fl_num", "dep_us", "side", F.col("k").cast(LONG).alias("k"), us(F.col("o.w_ts")).alias("w_us"),
+                       *[shown(f).alias(f) for f in JOIN_FEATURES])
+
+
+def enrich_legacy(spark: SparkSession, d: str) -> DataFrame:
+    """Unmatched flights get one struct of NULLs, which is told by its missing time."""
+    joined = _enriched(spark, d, 3, legacy_unmatched=True)
+    sides = [F.size(f"weather_{s}").cast(LONG).alias(f"{s}_n") for s in ("origin", "dest")]
+    blank = [F.get(f"weather_{s}", 0)["w_ts"].isNull().alias(f"{s}_blank") for s in ("origin", "dest")]
+    return joined.select(F.col("OP_CARRIER_FL_NUM").cast(LONG).alias("fl_num"), us("CRS_DEP_TIMESTAMP").alias("dep_us"), *sides, *blank)
+
+
+def flat_all_features(spark: SparkSession, d: str) -> DataFrame:
+    """Z6 with seven lags: every numeric feature of both sides, one row per feature: its lags, minimum, maximum, mean and difference."""
+    flat = enriching.flat_features(_enriched(spark, d, 7), 7)
+    names = sorted({c[len("orig_"):-len("_min")] for c in flat.columns if c.startswith("orig_") and c.endswith("_min")})
+    stats = [*(f"lag{k}" for k in range(7)), "min", "max", "avg", "delta"]
+
+    def one(side: str, f: str) -> Column:
+        values = [F.col(f"{side}_{f}_{x}").cast(DOUBLE) for x in stats]
+        values = [F.round(v, 6) if x in ("avg", "delta") else v for x, v in zip(stats, values, strict=True)]
+        return F.struct(F.lit(side).alias("side"), F.lit(f).alias("feature"), *[v.alias(x) for x, v in zip(stats, values, strict=True)])
+
+    rows = flat.select(F.col("OP_CARRIER_FL_NUM").cast(LONG).alias("fl_num"), us("CRS_DEP_TIMESTAMP").alias("dep_us"),
+                       F.explode(F.array(*[one(s, f) for s in ("orig", "dest") for f in names])).alias("r"))
+    return rows.select("fl_num", "dep_us", "r.*")
+
+
 def flat_features(spark: SparkSession, d: str) -> DataFrame:
     """Z6 on the enriched table: P13-P15, A10."""
     flat = enriching.flat_features(_enriched(spark, d, 3), 3)
@@ -411,24 +470,117 @@ def month_count_files(spark: SparkSession, d: str) -> DataFrame:
 def capped_table_rows(spark: SparkSession, d: str) -> DataFrame:
     """A capped table, counted while written, read through the catalog."""
     path = io.scratch_dir(spark)
-    name = f"orders_{path[-8:]}"
     written = io.write_table(table(spark, d, "orders"), path, max_records=4000)
-    io.register_tables(spark, "asofkit_checks", {name: path})
-    return spark.table(f"asofkit_checks.{name}").groupBy("o_orderstatus").agg(
+    io.register_tables(spark, "asofkit_checks", {"orders_capped": path})
+    return spark.table("asofkit_checks.orders_capped").groupBy("o_orderstatus").agg(
         F.count(F.lit(1)).alias("n")).withColumn("written", F.lit(written).cast(LONG))
 
 
-def pipeline_month(spark: SparkSession, d: str) -> DataFrame:
-    """Raw text files by month, all stages for one month, the joined table."""
+def measured_write(spark: SparkSession, d: str) -> DataFrame:
+    """Row, non-NULL and sketched distinct counts and bounds taken while a table is written, beside those of a pass over it."""
+    lines, path = table(spark, d, "lineitem").withColumn("late", F.when(F.col("l_shipdate") > F.lit("1998-01-01"), F.col("l_shipdate"))), io.scratch_dir(spark)
+    wanted = measures(Metrics(non_null=("late",), distinct={"l_suppkey": "l_suppkey"}))
+    seen = io.write_measured(lines, path, wanted | {"first": F.min("l_shipdate"), "last": F.max("l_shipdate")})
+    report = measured_report(spark, {"lineitem": seen}, report_schema(("dataset", "rows", "non_null_late", "distinct_l_suppkey")))
+    exact = io.read_table(spark, path).agg(F.count_distinct("l_suppkey").alias("suppliers"))
+    close = F.abs(F.col("distinct_l_suppkey") - F.col("suppliers")) <= F.greatest(F.lit(2.0), 0.15 * F.col("suppliers"))
+    first, last = (us(F.lit(str(seen[c])).cast("timestamp_ntz")) for c in ("first", "last"))
+    # one row beside one row
+    return report.join(exact).select("dataset", "rows", "non_null_late", "suppliers", close.alias("close"), first.alias("first_us"), last.alias("last_us"))
+
+
+def month_tables(spark: SparkSession, d: str) -> DataFrame:
+    """Orders written by month, the last month written again with other prices, read through the catalog, and
+    within bounds by month folder and time."""
+    path, orders = io.scratch_dir(spark), table(spark, d, "orders").select("o_orderkey", "o_orderdate", "o_totalprice")
+    io.write_months(orders, path, "o_orderdate")
+    low, high = time_bounds(orders, "o_orderdate")
+    last = orders.where(F.date_format("o_orderdate", "yyyyMM") == high.strftime("%Y%m"))
+    io.write_months(last.withColumn("o_totalprice", F.col("o_totalprice") + 1), path, "o_orderdate")
+    io.register_months(spark, "asofkit_checks", "orders_by_month", path)
+    inside = io.read_months_within(spark, path, "o_orderdate", (low + timedelta(days=180), high - timedelta(days=180)))
+    parts = [spark.table("asofkit_checks.orders_by_month").withColumn("read", F.lit("catalog")), inside.withColumn("read", F.lit("within"))]
+    return parts[0].unionByName(parts[1]).select("read", "o_orderkey", "month", F.round("o_totalprice", 2).alias("price"))
+
+
+def colocated_flights(spark: SparkSession, d: str) -> DataFrame:
+    """Clean flights and weather in buckets by airport; flights whose origin is ever observed, joined without an exchange."""
+    flights = cleaning.clean_flights(raw_flights(spark, d)).withColumnRenamed("ORIGIN_AIRPORT_ID", "AirportId")
+    weather = _weather(spark, d).select("AirportId", "timestamp", "WindSpeed")
+    spark.sql("CREATE DATABASE IF NOT EXISTS asofkit_checks")
+    f = io.write_colocated(flights, "asofkit_checks.flights_by_airport", "AirportId", 8, ["CRS_DEP_TIMESTAMP"])
+    w = io.write_colocated(weather, "asofkit_checks.weather_by_airport", "AirportId", 8, ["timestamp"])
+    return reducing.restrict_to(f, w, "AirportId").select(
+        F.col("OP_CARRIER_FL_NUM").cast(LONG).alias("fl_num"), F.col("AirportId").cast(LONG).alias("airport"), us("CRS_DEP_TIMESTAMP").alias("dep_us"))
+
+
+def month_sketches(spark: SparkSession, d: str) -> DataFrame:
+    """A4, A5: a sketch of each month's customers, merged by year: beside the exact count, whether the sketch is within five times its stated error."""
+    orders, path = table(spark, d, "orders"), io.scratch_dir(spark)
+    kept = io.through_table(sketches_of(orders, "o_orderdate", {"customers": "o_custkey"}), path)
+    merged = distinct_of_months(kept, ["customers"], F.substring("month", 1, 4))
+    exact = orders.groupBy(F.date_format("o_orderdate", "yyyy").alias("span")).agg(F.count_distinct("o_custkey").alias("customers"))
+    close = F.abs(F.col("distinct_customers") - F.col("customers")) <= F.greatest(F.lit(2.0), 5 * 0.0163 * F.col("customers"))
+    return merged.join(exact, "span").select("span", "customers", close.alias("close"))
+
+
+def quarantined_lines(spark: SparkSession, d: str) -> DataFrame:
+    """Orders as text files in which some lines lack a field and some have one too many: those are set aside, as they are."""
+    root, columns = io.scratch_dir(spark), ["o_orderkey", "o_orderstatus", "o_orderpriority"]
+    kind = F.col("o_orderkey") % 40
+    line = (F.when(kind == 0, F.concat_ws(",", *columns[:2])).when(kind == 1, F.concat_ws(",", *columns, F.lit("more")))
+            .otherwise(F.concat_ws(",", *columns)))
+    rows = table(spark, d, "orders").select((F.col("o_orderkey") % 4).alias("part"), F.lit(1).alias("o"), line.alias("value"))
+    heads = rows.select("part").distinct().select("part", F.lit(0).alias("o"), F.lit(",".join(columns)).alias("value"))
+    # one file a part, its header first
+    (heads.unionByName(rows).repartition("part").sortWithinPartitions("part", "o").select("part", "value")
+     .write.partitionBy("part").text(root))
+    good, broken = io.read_checked_text(spark, f"{root}/part=*")
+    return good.select(*columns, F.lit(None).cast("string").alias("line")).unionByName(broken.select("line"), allowMissingColumns=True)
+
+
+def _raw_files(spark: SparkSession, d: str) -> str:
+    """Raw text files of all months that occur, and the station list, below a new folder."""
     root = io.scratch_dir(spark)
-    for month in ("202401", "202402"):
-        for df, path in ((raw_flights(spark, d), f"{root}/Flights/{month}.csv"),
-                         (raw_weather(spark, d), f"{root}/Weather/{month}hourly.txt")):
-            df.where(F.col("file_month") == month).drop("file_month").write.option("header", True).csv(path)
+    for df, place in ((raw_flights(spark, d), "Flights/{}.csv"), (raw_weather(spark, d), "Weather/{}hourly.txt")):
+        for (month,) in df.select("file_month").distinct().collect():
+            df.where(F.col("file_month") == month).drop("file_month").write.option("header", True).csv(f"{root}/{place.format(month)}")
     raw_stations(spark, d).write.option("header", True).csv(f"{root}/stations.csv")
-    return _per_flight(run_pipeline(spark, PipelineConfig(
-        flights_dir=f"{root}/Flights", weather_dir=f"{root}/Weather", station_csv=f"{root}/stations.csv",
-        out_root=f"{root}/out", sample_month="202401", database=None)))
+    return root
+
+
+def _config(root: str, **kw) -> PipelineConfig:
+    return PipelineConfig(flights_dir=f"{root}/Flights", weather_dir=f"{root}/Weather", station_csv=f"{root}/stations.csv",
+                          out_root=f"{root}/out", **kw)
+
+
+def pipeline_month(spark: SparkSession, d: str) -> DataFrame:
+    """Raw text files by month, all stages for one month, the joined table."""
+    return _per_flight(run_pipeline(spark, _config(_raw_files(spark, d), sample_month="202401", database=None)))
+
+
+def pipeline_all(spark: SparkSession, d: str) -> DataFrame:
+    """Z7 over all months: raw text files, all stages, the joined table."""
+    return _per_flight(run_pipeline(spark, _config(_raw_files(spark, d), database=None)))
+
+
+def pipeline_reports(spark: SparkSession, d: str) -> DataFrame:
+    """Z7 by its modes one after the other, K2, K3, K4, K7, A9, Z5: the JSON report read back, the month counts of all four tables
+    read back from CSV, and the rows of the tables that the catalog holds."""
+    root, database = _raw_files(spark, d), "asofkit_checks_job"
+    for mode in ("prepare", "quality", "join"):
+        run_pipeline(spark, _config(root, lags=2, mode=mode, exact_quality=True, numeric_visibility=True, flat=mode == "join", month_report=mode == "join", database=database))
+    quality = f"{root}/out/quality"
+    report = spark.read.schema(report_schema()).json(f"{quality}/quality_summary.json")
+    counts = F.explode(F.map_from_arrays(*[F.array(*x) for x in zip(*[(F.lit(c), F.col(c)) for c in REPORT_COLUMNS if c != "dataset"], strict=True)]))
+    parts = [report.select(F.lit("report").alias("kind"), F.col("dataset").alias("name"), counts.alias("item", "value"))]
+    for name in ("flight_clean", "weather_clean", "join_intermediate_lag2", "join_flat_lag2"):
+        months = io.read_text_table(spark, f"{quality}/months/{name}_months.csv")
+        parts.append(months.select(F.lit("months"), F.lit(name), "month", F.col("n").cast(LONG)))
+    known = [("catalog", t.name, "rows", spark.table(f"{database}.{t.name}").count()) for t in spark.catalog.listTables(database)]
+    spark.sql(f"DROP DATABASE {database} CASCADE")  # its tables are external: the files stay
+    parts.append(spark.createDataFrame(known, "kind string, name string, item string, value long"))
+    return reduce(DataFrame.union, parts)
 
 
 ALL = (
@@ -438,4 +590,6 @@ ALL = (
     restrict_and_attach, dedup_subset, top_n_newest, collect_newest, shaped_columns, picked_features,
     enrich_two_sided, enrich_hot, enrich_zone_shift, enrich_single, flat_features, quality_counts, quality_exact,
     quality_approx, asof_many_segments, month_counts, month_count_files, capped_table_rows, pipeline_month,
+    enrich_all_features, enrich_hot_instants, enrich_legacy, flat_all_features, measured_write, month_tables, colocated_flights, month_sketches,
+    quarantined_lines, pipeline_all, pipeline_reports,
 )

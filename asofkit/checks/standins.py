@@ -15,10 +15,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def users(spark: SparkSession, sf_dir: str) -> int:
+    """One more than the largest user of the events: every airport is somebody's destination, whatever the scale."""
+    return (table(spark, sf_dir, "events").agg(F.max("user_id")).first()[0] or 0) + 1
+
+
 def purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flights of the generic as-of queries."""
     e = table(spark, sf_dir, "events").where("event_type = 'purchase'")
-    return e.select("event_id", "user_id", "ts", "value", ((F.col("user_id") + 37) % 150).alias("dest_id"))
+    return e.select("event_id", "user_id", "ts", "value", ((F.col("user_id") + 37) % users(spark, sf_dir)).alias("dest_id"))
 
 
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,7 +45,7 @@ def raw_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_type AS OP_CARRIER",
         "concat(event_id % 40000, if(event_id % 2 = 1, '.0', '')) AS OP_CARRIER_FL_NUM",
         "if(event_id % 101 = 0, 'X', string(user_id)) AS ORIGIN_AIRPORT_ID",
-        "string((user_id + 38) % 150) AS DEST_AIRPORT_ID",
+        f"string((user_id + 38) % {users(spark, sf_dir)}) AS DEST_AIRPORT_ID",
         "if(event_id % 89 = 0, '2400', string(hour(at) * 100 + minute(at))) AS CRS_DEP_TIME",
         "if(event_id % 71 = 0, NULL, string(value)) AS CRS_ELAPSED_TIME",
         "if(event_id % 3 = 0, concat(event_id % 180, '.0'), NULL) AS ARR_DELAY_NEW",
@@ -61,7 +66,8 @@ def sky_text(number: str) -> str:
         return f"lpad(string({number} % {m}), 3, '0')"
     return (
         f"CASE {number} % 8 WHEN 0 THEN 'CLR' WHEN 1 THEN concat('FEW', {height(1000)})"
-        f" WHEN 2 THEN concat('SCT014 OVC', {height(500)}, 'CB') WHEN 4 THEN 'M'"
+        f" WHEN 2 THEN concat('SCT014 OVC', {height(500)}, 'CB')"
+        f" WHEN 4 THEN if({number} % 16 = 4, 'M', concat({height(1000)}, '/', {height(1000)}, ' SCT', {height(90)}))"
         f" WHEN 5 THEN ' BKN020  OVC060TCU ' WHEN 6 THEN concat('VV', {height(30)})"
         f" WHEN 7 THEN concat('FEW', {height(90)}, ' SCT', {height(200)}, ' BKN', {height(350)}) END"
     )
