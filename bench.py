@@ -21,13 +21,13 @@ SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
 
 
-def _asof(lags: int, keys: int | None = None):
+def _asof(lags: int, keys: int | None = None, **kw):
     def query(spark: SparkSession, d: str) -> DataFrame:
         left, right = purchases(spark, d), observations(spark, d)
         if keys:
             left, right = (x.withColumn("user_id", F.col("user_id") % keys) for x in (left, right))
         return asof_lags(left.select("event_id", "user_id", "ts"), right, by="user_id", left_ts="ts",
-                         right_ts="ts", lags=lags, payload=["obs_id", "value"], tie_break=["obs_id"], out="w")
+                         right_ts="ts", lags=lags, payload=["obs_id", "value"], tie_break=["obs_id"], out="w", **kw)
     return query
 
 
@@ -36,10 +36,14 @@ QUERIES = {
     "asof_lag1_hot_keys": _asof(0, 3),
     "asof_lag7_normal_keys": _asof(7),
     "asof_lag7_hot_keys": _asof(7, 3),
+    # one key that holds all rows, cut 100 and 10,000 times
+    "asof_lag7_100_cuts": _asof(7, 1, segment_rows=1_000),
+    "asof_lag7_10000_cuts": _asof(7, 1, segment_rows=10),
     **{q.__name__: q for q in (
         checks.interval_join_pairs, checks.lag_stats, checks.sky_features, checks.weather_scores,
         checks.lenient_casts, checks.clean_flights, checks.clean_weather, checks.enrich_two_sided,
-        checks.flat_features, checks.quality_approx, checks.month_counts, checks.pipeline_month,
+        checks.flat_features, checks.quality_approx, checks.month_counts, checks.pipeline_month, checks.month_tables,
+        checks.colocated_flights, checks.measured_write,
     )},
 }
 
