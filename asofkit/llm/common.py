@@ -59,21 +59,31 @@ def give_back() -> None:
 
 
 _FREE: list[Callable[[], None]] = []
+_OWNER = [""]
 
 
 def caching(free: Callable[[], None]) -> None:
-    """Say before filling a cache of this worker how to empty it: the cache of the operator before, if another, is
-    emptied now, so the stages of a pipeline, which share workers, hold one operator's cache at a time."""
+    """Say before filling a cache of this worker how to empty it."""
     if free not in _FREE:
+        _FREE.append(free)
+
+
+def owned_by(operator: str) -> None:
+    """Begin a task of ``operator``: when the task before was another's, all caches of this worker are emptied, so the stages of a
+    pipeline, which share workers, hold one operator's caches at a time, and an operator keeps all that it uses."""
+    if _OWNER[0] != operator:
+        _OWNER[0] = operator
         while _FREE:
             _FREE.pop()()
-        _FREE.append(free)
         give_back()
 
 
-def thrifty(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable:
-    """``run``, then free memory goes back."""
+def thrifty(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], operator: str = "") -> Callable:
+    """``run`` as a task of ``operator`` (the module that wrote it, if none is named), then free memory goes back."""
+    operator = operator or run.__module__
+
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        owned_by(operator)
         yield from run(batches)
         give_back()
 
@@ -117,7 +127,7 @@ def map_rows(df: DataFrame, fn: Callable[[Iterator[tuple]], Iterator[tuple]], sc
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from batches_of(fn(rows_of(batches)), arrow)
 
-    return bounded(df).mapInArrow(thrifty(run), schema)
+    return bounded(df).mapInArrow(thrifty(run, fn.__module__), schema)
 
 
 def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: str) -> DataFrame:
@@ -130,7 +140,7 @@ def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: str)
             if made is not None:
                 yield pa.RecordBatch.from_arrays([pa.array(made[f.name], f.type) for f in arrow], schema=arrow)
 
-    return bounded(df).mapInArrow(thrifty(run), schema)
+    return bounded(df).mapInArrow(thrifty(run, fn.__module__), schema)
 
 
 def utf8(batch: pa.RecordBatch, name: str) -> list[bytes]:
