@@ -27,14 +27,23 @@ class Scratch:
     """Intermediate tables of one run, in the folder that the cluster shares (``spark.checkpoint.dir``)."""
 
     def __init__(self, spark: SparkSession):
-        self.spark, self.path, self.n = spark, scratch_dir(spark), 0
+        self.spark, self.path, self.n, self.held = spark, scratch_dir(spark), 0, {}
 
     def keep(self, df: DataFrame) -> DataFrame:
         """Write ``df`` as Parquet and go on from the files, which outlive the executors that wrote them."""
         self.n += 1
         at = f"{self.path}/t{self.n}"
         df.write.option("compression", "zstd").parquet(at)
-        return self.spark.read.schema(df.schema).parquet(at)
+        back = self.spark.read.schema(df.schema).parquet(at)
+        self.held[id(back)] = (back, at)
+        return back
+
+    def release(self, *tables: DataFrame) -> None:
+        """Delete tables that ``keep`` gave, once all that reads them is written itself."""
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        for df in tables:
+            path = jvm.org.apache.hadoop.fs.Path(self.held.pop(id(df))[1])
+            path.getFileSystem(conf).delete(path, True)
 
 
 BATCH_BYTES = 16 << 20

@@ -11,11 +11,12 @@ is estimated from the data; a poor estimate costs time, never a pair.
 
 1. Keys (prefix shingles) that two texts or more share are found by an aggregate (combined map-side). A block is all
    texts that share a key with the same pivot, the smallest text of that key; so a pair meets in few blocks.
-2. Blocks get R-trees over the counts of their texts. A block over ``tile`` texts is dealt to pairs of tiles, so no task
-   holds more than two tiles. The first round takes a spanning forest of the pairs that survive the bound, so what is
-   verified of a large group of near copies is a forest per pair of tiles. Dealing is not: a block of B different texts
-   is sent B * B / ``tile`` times, and its trees list all fitting pairs of two tiles. Copies had one node from the start.
-3. The second round takes all surviving pairs between different components. Pairs inside a component cannot change it.
+2. Blocks get R-trees over the counts of their texts. A block over ``tile`` texts is cut into tiles. In the first round each text
+   stays in its own tile, and a spanning forest of the pairs that survive the bound is verified; the second round does the
+   same with one text of each component of a block of several tiles. What is left of a large group of near copies is then one
+   component, at the cost of its size.
+3. The third round takes all surviving pairs between different components. The texts of a block's largest component stay in their own
+   tiles, and only its other texts are sent to all tiles: pairs inside a component cannot change it.
 Vectors travel with the keys; whole sets are made again from the texts for surviving pairs alone.
 
 Defined results: null text counts as empty, and a text without words is linked with nothing. Copies share a node and
@@ -31,10 +32,10 @@ import hashlib
 import numpy as np
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from asofkit.llm.common import Bitmap, Scratch, bounded, caching, map_arrow, table, thrifty, utf8
+from asofkit.llm.common import Bitmap, Scratch, attach, bounded, caching, map_arrow, table, thrifty, union_all, utf8
 
 _MULT, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
@@ -164,7 +165,7 @@ def _often(docs: DataFrame, k: int, chunk: int = 4_000_000, least: int = 3, most
 
 
 def _keyed(docs: DataFrame, often: np.ndarray, k: int) -> DataFrame:
-    """A row per document: doc_id, node (hash of its set), n (size of the set), vec (its counts, packed), keys (its prefix)."""
+    """A row per document: doc_id, body (hash of its text), node (hash of its set), n (size of the set), vec (its counts, packed), keys (its prefix)."""
     rank = docs.sparkSession.sparkContext.broadcast((np.sort(often), np.argsort(often)))
 
     def key(batch):
@@ -181,9 +182,13 @@ def _keyed(docs: DataFrame, often: np.ndarray, k: int) -> DataFrame:
                 met = common[at] == s
                 s = np.concatenate([s[~met], s[met][np.argsort(place[at[met]], kind="stable")]])
             keys.append(s[:prefix].view(np.int64))
-        return {"doc_id": batch.column("doc_id"), "node": nodes, "n": sizes, "vec": vecs, "keys": keys}
+        return {"doc_id": batch.column("doc_id"), "body": batch.column("body"), "node": nodes, "n": sizes, "vec": vecs, "keys": keys}
 
-    return map_arrow(docs.select("doc_id", "text"), key, "doc_id long, node long, n long, vec binary, keys array<long>")
+    return map_arrow(docs.select("doc_id", body_hash().alias("body"), "text"), key, "doc_id long, body long, node long, n long, vec binary, keys array<long>")
+
+
+def body_hash(text: str = "text") -> Column:
+    return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
 
 
 def _members(keyed: DataFrame, shared: DataFrame) -> DataFrame:
@@ -268,8 +273,9 @@ def _forest(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return keep
 
 
-def _block_pairs(members: DataFrame, vectors: DataFrame, tile: int, forest: bool) -> DataFrame:
-    """Pairs of different components that the R-trees of the blocks let through, or a forest of them in each tile.
+def _block_pairs(members: DataFrame, vectors: DataFrame, tile: int, across: bool) -> DataFrame:
+    """Pairs of different components that the R-trees of the blocks let through: a forest of them inside each tile, or,
+    ``across`` tiles, all of them.
 
     members: pivot, node, comp, n.
     """
@@ -277,15 +283,24 @@ def _block_pairs(members: DataFrame, vectors: DataFrame, tile: int, forest: bool
     classes = members.withColumn("class", F.floor(F.log("n") / float(np.log(4 / 3)) + 1e-9))
     wide = (classes.withColumn("class", F.explode(F.array(F.col("class") - 1, F.col("class"), F.col("class") + 1)))
             .groupBy("pivot", "class").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("pivot", "class"))
-    near = classes.join(wide, ["pivot", "class"]).drop("class").join(vectors.select("node", "vec"), "node")
-    sizes = near.groupBy("pivot").agg(F.ceil(F.count(F.lit(1)) / tile).cast("int").alias("tiles"))
+    near = classes.join(wide, ["pivot", "class"]).drop("class")
+    per_comp = near.groupBy("pivot", "comp").agg(F.count(F.lit(1)).alias("c"))
+    sizes = per_comp.groupBy("pivot").agg(
+        F.ceil(F.sum("c") / tile).cast("int").alias("tiles"), F.max(F.struct("c", "comp"))["comp"].alias("main"))
+    # Without a second tile there is nothing to deal; a row of the block's largest component is never sent to others' tiles.
     own = F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int")
-    dealt = (near.join(sizes, "pivot").withColumn("own", own)
-             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-             .select(F.col("pivot").alias("key"), F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "comp", "n", "vec"))
+    placed = near.join(sizes, "pivot").withColumn("own", own)
+    if across:
+        away = F.when(F.col("comp") != F.col("main"), F.sequence(F.lit(0), F.col("tiles") - 1)).otherwise(F.array("own"))
+        placed = placed.withColumn("at", F.explode(away))
+    else:
+        placed = placed.withColumn("at", F.col("own"))
+    forest = not across
+    dealt = placed.join(vectors.select("node", "vec"), "node").select(
+        F.col("pivot").alias("key"), "at", (F.col("own") == F.col("at")).alias("home"), "node", "comp", "n", "vec")
 
     def block(rows: list) -> tuple[np.ndarray, np.ndarray]:
-        node, comp, n, own = (np.array([r[k] for r in rows], np.int64) for k in (0, 1, 2, 3))
+        node, comp, n, home = (np.array([r[k] for r in rows], np.int64) for k in (0, 1, 2, 3))
         vecs = [unpacked(r[4]) for r in rows]
         classes, out = band(n), [(node[:0], node[:0])]
         for c in np.unique(classes):
@@ -298,7 +313,8 @@ def _block_pairs(members: DataFrame, vectors: DataFrame, tile: int, forest: bool
             for x in range(0, len(queries), 128):
                 q, p = tree.search(n[queries[x : x + 128]], folded[asked[x : x + 128]])
                 q, p = queries[q + x], points[p]
-                ok = (comp[q] != comp[p]) & ((rows[0][5] == rows[0][6]) | (own[q] != own[p])) & ((classes[p] > c) | (node[q] < node[p]))
+                # Two visitors meet in their own tiles as well.
+                ok = (comp[q] != comp[p]) & ((home[q] | home[p]) == 1) & ((classes[p] > c) | (node[q] < node[p]))
                 a, b = np.minimum(node[q], node[p])[ok], np.maximum(node[q], node[p])[ok]
                 keep = _forest(a, b) if forest else slice(None)
                 out.append((a[keep], b[keep]))
@@ -320,11 +336,11 @@ def _block_pairs(members: DataFrame, vectors: DataFrame, tile: int, forest: bool
             held.clear()
 
         for batch in batches:
-            cols = [batch.column(c).to_pylist() for c in ("node", "comp", "n", "own", "vec", "i", "j", "key")]
+            cols = [batch.column(c).to_pylist() for c in ("node", "comp", "n", "home", "vec", "key", "at")]
             for row in zip(*cols, strict=True):
-                if (row[7], row[5], row[6]) != at:
+                if row[5:] != at:
                     close()
-                    at = (row[7], row[5], row[6])
+                    at = row[5:]
                 held.append(row)
             if out_a:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), pa.int64()) for x in (out_a, out_b)], ["a", "b"])
@@ -333,30 +349,66 @@ def _block_pairs(members: DataFrame, vectors: DataFrame, tile: int, forest: bool
         if out_a:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), pa.int64()) for x in (out_a, out_b)], ["a", "b"])
 
-    return bounded(dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")).mapInArrow(thrifty(run), "a long, b long").distinct()
+    return bounded(dealt.repartition("key", "at").sortWithinPartitions("key", "at")).mapInArrow(thrifty(run), "a long, b long").distinct()
 
 
-def ngram_join(docs: DataFrame, n: int = 5, tile: int = 1_000) -> DataFrame:
-    """A row per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id. See the module's text."""
+def components_of(docs: DataFrame, n: int = 5, tile: int = 1_000) -> DataFrame:
+    """A row per row of ``docs`` (doc_id, text): doc_id, body (hash of its text), n (size of its set), comp (null for rows without words)."""
     scratch = Scratch(docs.sparkSession)
     docs = docs.select("doc_id", "text")
     keyed = scratch.keep(_keyed(docs, _often(docs, n), n))
+    rows = scratch.keep(keyed.select("doc_id", "body", "n", "node"))
     keys = keyed.where("n > 0").select("node", F.explode("keys").alias("key"))
     shared = scratch.keep(keys.groupBy("key").agg(F.min("node").alias("pivot"), F.max("node").alias("last"))
                           .where("pivot <> last").select("key", "pivot"))
     members = scratch.keep(_members(keyed, shared))
     vectors = scratch.keep(keyed.join(members.select("node").distinct(), "node", "left_semi").select("node", "n", "vec").dropDuplicates(["node"]))
-    blocks = members.join(vectors.select("node", "n"), "node")
-    first = scratch.keep(_verified(scratch.keep(_block_pairs(blocks.withColumn("comp", F.col("node")), vectors, tile, True)), docs, keyed, n))
-    comps = components(first, scratch)
-    placed = blocks.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    pairs = scratch.keep(_block_pairs(placed, vectors, tile, False))
-    if not pairs.isEmpty():
-        comps = components(first.unionByName(_verified(pairs, docs, keyed, n)), scratch)
-    rows = keyed.select("doc_id", "n", "node").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    names = rows.where("n > 0").groupBy("comp").agg(F.min("doc_id").alias("first_id"))
-    return rows.join(names, "comp", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("first_id")).alias("component_id"))
+    scratch.release(keyed, shared)
+    blocks = scratch.keep(members.join(vectors.select("node", "n"), "node"))
+    scratch.release(members)
+    # Only blocks of several tiles need the round of representatives.
+    large = scratch.keep(blocks.groupBy("pivot").count().where(F.col("count") > tile).select("pivot"))
+    links, comps = [], None
+    for reps, across in ((False, False), (True, False), (False, True)):
+        if reps and large.isEmpty():
+            continue
+        here = blocks.withColumn("comp", F.col("node")) if comps is None else blocks.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+        if reps:
+            here = here.join(large, "pivot", "left_semi").groupBy("pivot", "comp").agg(F.min(F.struct("node", "n")).alias("least")).select("pivot", "comp", "least.node", "least.n")
+        pairs = scratch.keep(_block_pairs(here, vectors, tile, across))
+        if not pairs.isEmpty():
+            links.append(scratch.keep(_verified(pairs, docs, rows, n)))
+            comps = components(union_all(links), scratch)
+        scratch.release(pairs)
+    scratch.release(vectors, blocks)
+    if comps is None:
+        return rows.select("doc_id", "body", "n", F.when(F.col("n") > 0, F.col("node")).alias("comp"))
+    linked = scratch.keep(rows.groupBy("node").agg(F.count(F.lit(1)).alias("c")).join(comps, "node"))
+    placed = attach(rows, linked, "node", "c", "left").withColumn("comp", F.when(F.col("n") > 0, F.coalesce("comp", "node")))
+    return scratch.keep(placed.select("doc_id", "body", "n", "comp"))
+
+
+def ngram_join(docs: DataFrame, n: int = 5, tile: int = 1_000) -> DataFrame:
+    """A row per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id. See the module's text."""
+    rows = components_of(docs, n, tile)
+    names = Scratch(docs.sparkSession).keep(
+        rows.where("comp IS NOT NULL").groupBy("comp").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("c")))
+    worded = attach(rows.where("comp IS NOT NULL"), names, "comp", "c").select("doc_id", "n", "first_id")
+    return worded.unionByName(rows.where("comp IS NULL").select("doc_id", "n", F.col("doc_id").alias("first_id"))).select(
+        "doc_id", F.col("n").alias("n_shingles"), F.col("first_id").alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, n: int = 5, tile: int = 1_000) -> DataFrame:
+    """The rows of ``docs`` that stay: of each component the one with the smallest doc_id (null last, then by a hash of the text), and all
+    without words. Rows equal in doc_id and text stay or go together; take exact copies out before."""
+    scratch = Scratch(docs.sparkSession)
+    rows = components_of(docs, n, tile)
+    row = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "body")
+    first = rows.where("comp IS NOT NULL").groupBy("comp").agg(F.min(row).alias("first")).select("first.doc_id", "first.body")
+    stay = scratch.keep(first.unionByName(rows.where("comp IS NULL").select("doc_id", "body")).distinct())
+    named = stay.select(F.coalesce("doc_id", F.lit(0)).alias("_i"), F.col("doc_id").isNull().alias("_null"), F.col("body").alias("_body"))
+    return docs.join(named, (F.coalesce(F.col("doc_id"), F.lit(0)) == F.col("_i")) & (F.col("doc_id").isNull() == F.col("_null"))
+                     & (body_hash() == F.col("_body")), "left_semi")
 
 
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
