@@ -79,19 +79,23 @@ def position(share: Column, weight_class: Column, schedules: dict = SCHEDULES) -
     return F.least(F.greatest(out, F.lit(0.0)), F.lit(1.0))
 
 
+def source_name(source: str) -> Column:
+    """A null source gets a name that no other has: names are prefixed."""
+    return F.when(F.col(source).isNull(), F.lit("n")).otherwise(F.concat(F.lit("s"), F.col(source).cast("string")))
+
+
 def streams(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "source", most: int = 3,
             bucket_rows: int = 20_000, carry: list[str] | None = None) -> DataFrame:
-    """A row per row: row (a struct of the columns ``carry``, all if None), _size, _source_size, _class, _target, _before (words before
-    it in its source's stream), _ties (rows equal to it) and _taken."""
+    """A row per row: row (a struct of the columns ``carry``, all if None), _name (of its source), _key (of its order), _size, _source_size,
+    _class, _target, _before (words before it in its source's stream), _ties (rows equal to it) and _taken."""
     scratch = Scratch(docs.sparkSession)
     names = docs.columns if carry is None else carry
-    rows = docs.select(F.struct(*names).alias("row"), F.col(source).alias("_source"),
+    rows = docs.select((F.struct(*names) if names else F.lit(0)).alias("row"), F.col(source).alias("_source"),
                        sizes(text).alias("_size"), order_key(id, text).alias("_key"))
     if carry is not None:
         rows = scratch.keep(rows)
     targets = scratch.keep(source_targets(rows.select("_source", "_size"), most))
-    # A null source gets a name that no other has: names are prefixed.
-    name = F.when(F.col("_source").isNull(), F.lit("n")).otherwise(F.concat(F.lit("s"), F.col("_source").cast("string"))).alias("_name")
+    name = source_name("_source").alias("_name")
     plan = targets.select(name, "_source_size", "_class", "_target", F.ceil(F.col("_rows") / bucket_rows).alias("_buckets"))
     # Buckets by the leading hex digits of the key, in its order.
     lead = F.conv(F.substring("_key", 1, 8), 16, 10).cast("long")
@@ -110,7 +114,7 @@ def streams(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str
     rounds = F.when(F.col("_source_size") > 0, F.floor(target / F.col("_source_size")).cast("long")).otherwise(0)
     rest = target - rounds * F.col("_source_size")
     part = F.floor(F.greatest(F.lit(0), F.least(rest - start, group)) / F.col("_ties")).cast("long")
-    return full.select("row", "_size", "_source_size", "_class", "_target", start, "_ties",
+    return full.select("row", "_name", "_key", "_size", "_source_size", "_class", "_target", start, "_ties",
                        (rounds * size + part).alias("_taken"), rounds.alias("_rounds"))
 
 
@@ -129,6 +133,18 @@ def occurrences(mixed: DataFrame, schedules: dict = SCHEDULES, cut: bool = True)
     return each.withColumn("_words", words).withColumn("_position", position(F.least(share, F.lit(1.0)), F.col("_class"), schedules))
 
 
+def mixed_rows(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "source", schedules: dict = SCHEDULES) -> DataFrame:
+    """The rows of ``docs``, each as often as it is taken whole, in training order.
+
+    Streams, targets and positions are those of ids, sizes and keys; the rows themselves are joined to their positions, then sorted.
+    Equal rows have one key and one share, so a position belongs to each of them.
+    """
+    placed = streams(docs, id, text, source, carry=[]).dropDuplicates(["_name", "_key"])
+    at = Scratch(docs.sparkSession).keep(occurrences(placed, schedules, cut=False).select("_name", "_key", "_position"))
+    rows = docs.select(F.struct(*docs.columns).alias("row"), source_name(source).alias("_name"), order_key(id, text).alias("_key"))
+    return in_training_order(rows.join(at, ["_name", "_key"]), f"row.`{id}`").select("row.*")
+
+
 def in_training_order(rows: DataFrame, id: str = "doc_id", position: str = "_position") -> DataFrame:
     """Range-sorted by position: file after file is the training order."""
     return rows.repartitionByRange(position, id).sortWithinPartitions(position, id)
