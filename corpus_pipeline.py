@@ -26,17 +26,13 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Op 9: one document of each group of near copies stays, the one with the smallest doc_id.
-
-    Rows without a doc_id can't be named by a group; they stay.
-    """
-    first = Scratch(spark).keep(ngram_join.ngram_join(docs).where("doc_id = component_id").select("doc_id").distinct())
-    return docs.join(first, "doc_id", "left_semi").select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))
+    """Op 9: one document of each group of near copies stays, the one with the smallest doc_id (null last)."""
+    return ngram_join.one_of_each(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Op 8: a document's row for each time that it is taken whole, in training order."""
-    return mixing.in_training_order(mixing.occurrences(mixing.streams(docs), cut=False), "row.doc_id").select("row.*")
+    return mixing.mixed_rows(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
