@@ -449,6 +449,7 @@ ALL = {
     "enrich_all_features": all_features(),
     "enrich_legacy": legacy(),
     "enrich_hot_instants": per_flight(fold=True),
+    "enrich_in_reach": per_flight(),
     "flat_all_features": flat_all(),
     "measured_write": (
         "SELECT 'lineitem' AS dataset, count(*) AS rows, count(CASE WHEN l_shipdate > TIMESTAMP '1998-01-01' THEN 1 END) AS non_null_late,"

@@ -301,7 +301,8 @@ def _enriched(spark: SparkSession, d: str, lags: int, **kw) -> DataFrame:
     paths = io.TablePaths(io.scratch_dir(spark))
     flights = io.through_table(cleaning.clean_flights(raw_flights(spark, d)), paths.flights)
     stations = io.through_table(cleaning.clean_station_map(raw_stations(spark, d)), paths.stations)
-    weather = io.through_table(cleaning.clean_weather(raw_weather(spark, d), stations, flights), paths.weather)
+    reach = kw.pop("reach", None)
+    weather = io.through_table(cleaning.clean_weather(raw_weather(spark, d), stations, flights, look_back_hours=reach), paths.weather)
     if kw.pop("shift", False):
         kw["zones"] = stations
     if kw.pop("fold", False):
@@ -344,6 +345,11 @@ def enrich_hot(spark: SparkSession, d: str) -> DataFrame:
     return _per_flight(_enriched(spark, d, 7, segment_rows=20))
 
 
+def enrich_in_reach(spark: SparkSession, d: str) -> DataFrame:
+    """Weather cut to the days that a flight can look back on before it is parsed; the join finds the same."""
+    return _per_flight(_enriched(spark, d, 7, reach=12))
+
+
 def enrich_hot_instants(spark: SparkSession, d: str) -> DataFrame:
     """Z4 on two airports whose times are cut to months, in segments of 20 rows: instants span several cuts on both sides."""
     return _per_flight(_enriched(spark, d, 7, segment_rows=20, fold=True))
@@ -590,6 +596,6 @@ ALL = (
     restrict_and_attach, dedup_subset, top_n_newest, collect_newest, shaped_columns, picked_features,
     enrich_two_sided, enrich_hot, enrich_zone_shift, enrich_single, flat_features, quality_counts, quality_exact,
     quality_approx, asof_many_segments, month_counts, month_count_files, capped_table_rows, pipeline_month,
-    enrich_all_features, enrich_hot_instants, enrich_legacy, flat_all_features, measured_write, month_tables, colocated_flights, month_sketches,
+    enrich_all_features, enrich_hot_instants, enrich_in_reach, enrich_legacy, flat_all_features, measured_write, month_tables, colocated_flights, month_sketches,
     quarantined_lines, pipeline_all, pipeline_reports,
 )

@@ -76,6 +76,19 @@ def allowed_stations(
     return restrict_to(station_map, used, "AirportId").select("WBAN", "AirportId").distinct()
 
 
+def allowed_station_days(station_map: DataFrame, flights: DataFrame, hours: int, slack_days: int = 0) -> DataFrame:
+    """J1 + F5: distinct (WBAN, AirportId, day) that a flight can look back on: at its origin the days from ``hours`` before departure,
+    at its destination those before arrival. ``slack_days`` more on both ends where arrivals will be moved to another zone."""
+    dep = F.col("CRS_DEP_TIMESTAMP")
+    stops = F.array(
+        F.struct(F.col("ORIGIN_AIRPORT_ID").alias("AirportId"), dep.alias("t")),
+        F.struct(F.col("DEST_AIRPORT_ID").alias("AirportId"), clock.add_minutes(dep, F.col("CRS_ELAPSED_TIME")).alias("t")))
+    first = F.date_sub(F.to_date(clock.add_hours(F.col("s.t"), -hours)), slack_days)
+    used = (flights.select(F.explode(stops).alias("s")).where(F.col("s.AirportId").isNotNull() & F.col("s.t").isNotNull())
+            .select("s.AirportId", F.explode(F.sequence(first, F.date_add(F.to_date(F.col("s.t")), slack_days))).alias("_day")).distinct())
+    return attach_keys(station_map.select("WBAN", "AirportId").distinct(), used, "AirportId").select("WBAN", "AirportId", "_day")
+
+
 def type_weather(df: DataFrame) -> DataFrame:
     """A timestamp for Date and Time, measures per ``WEATHER_TYPES``.
 
@@ -93,17 +106,24 @@ def clean_weather(
     flights: DataFrame,
     ids: Sequence[str] = ("ORIGIN_AIRPORT_ID", "DEST_AIRPORT_ID"),
     numeric_visibility: bool = False,
+    look_back_hours: int | None = None,
+    slack_days: int = 0,
 ) -> DataFrame:
     """Z3: weather at the airports in use, typed and with features; no Celsius columns.
 
     Only the station is parsed before the restriction, so rows of other stations cost little more than their
     scan. Typing stands between the two feature steps, whose lambdas end a generated method: in one method with
     either of them it would be too large for the JVM to compile. ``Visibility`` stays text, and so no numeric
-    feature, unless asked for.
+    feature, unless asked for. With ``look_back_hours`` only the days that a flight of the station's airport can look back on are
+    kept, told by the date alone before anything else is parsed: what is joined to flights does not change.
     """
-    allowed = allowed_stations(station_map, flights, ids).where(F.col("AirportId").isNotNull())
     kept = casts.with_whole(drop_matching(raw, "Celsius"), {"WBAN": "int"})
-    here = attach_keys(kept, allowed, "WBAN")
+    if look_back_hours is None:
+        allowed = allowed_stations(station_map, flights, ids).where(F.col("AirportId").isNotNull())
+        here = attach_keys(kept, allowed, "WBAN")
+    else:
+        allowed = allowed_station_days(station_map, flights, look_back_hours, slack_days)
+        here = attach_keys(kept.withColumn("_day", clock.compact_date(F.col("Date"))), allowed, ["WBAN", "_day"]).drop("_day")
     df = add_weather_scores(type_weather(add_sky_features(here)))
     if numeric_visibility and "Visibility" in df.columns:
         df = df.withColumn("Visibility", casts.to_real(F.col("Visibility")))

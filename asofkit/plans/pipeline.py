@@ -31,7 +31,8 @@ MODES = ("prepare", "quality", "join", "all")
 
 @dataclass(frozen=True)
 class PipelineConfig:
-    """Inputs, output root and parameters. ``database`` None leaves the catalog alone."""
+    """Inputs, output root and parameters. ``database`` None leaves the catalog alone; ``weather_in_reach`` keeps of the weather only
+    days that some flight can look back on within ``hours``."""
 
     flights_dir: str = "data/Flights"
     weather_dir: str = "data/Weather"
@@ -46,6 +47,7 @@ class PipelineConfig:
     exact_quality: bool = False
     tz_adjust: bool = False
     numeric_visibility: bool = False
+    weather_in_reach: bool = False
     legacy_unmatched: bool = False
     flat: bool = False
     month_report: bool = False
@@ -90,6 +92,8 @@ def prepare_measured(spark: SparkSession, config: PipelineConfig) -> dict[str, d
             read_table(spark, paths.stations, config.fmt),
             read_table(spark, paths.flights, config.fmt),
             numeric_visibility=config.numeric_visibility,
+            look_back_hours=config.hours if config.weather_in_reach else None,
+            slack_days=1 if config.tz_adjust else 0,
         ),
         "weather_clean", paths.weather,
     )

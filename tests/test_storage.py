@@ -93,3 +93,21 @@ def test_broken_lines_are_set_aside(spark, tmp_path):
     assert {(r.file[-5:], r.line) for r in broken.collect()} == {("a.csv", "4,5"), ("a.csv", "6,7,8,9"), ("b.csv", "lonely")}
     assert (good.count(), broken.count()) == (3, 3)
     assert good.select("y").where("y = '5'").count() == 0 and broken.groupBy("file").count().count() == 2
+
+
+def test_weather_in_reach_is_less_and_enough(spark):
+    from asofkit.checks.standins import raw_flights, raw_stations, raw_weather
+    from asofkit.plans import cleaning
+
+    d = "/root/testdata/sf0.001"
+    flights, stations = cleaning.clean_flights(raw_flights(spark, d)), cleaning.clean_station_map(raw_stations(spark, d))
+    whole, near = (cleaning.clean_weather(raw_weather(spark, d), stations, flights, look_back_hours=h) for h in (None, 12))
+    kept = near.select("AirportId", "WBAN", "timestamp", "WindSpeed")
+    assert near.columns == whole.columns and 0 < near.count() < whole.count() / 2
+    assert kept.exceptAll(whole.select(*kept.columns)).count() == 0
+    # nothing that a flight can see is missing
+    lost = whole.select(*kept.columns).exceptAll(kept)
+    timed = with_arrival(flights)
+    for key, ts in (("ORIGIN_AIRPORT_ID", "CRS_DEP_TIMESTAMP"), ("DEST_AIRPORT_ID", "CRS_ARR_TIMESTAMP")):
+        seen = lost.join(timed, (lost["AirportId"] == timed[key]) & lost["timestamp"].between(timed[ts] - F.expr("INTERVAL 12 HOURS"), timed[ts]), "left_semi")
+        assert seen.count() == 0
