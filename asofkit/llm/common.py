@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import ctypes
 import sys
-from collections.abc import Callable, Iterator
+from bisect import bisect_left
+from collections.abc import Callable, Iterable, Iterator
 from functools import reduce
 
 import numpy as np
@@ -163,6 +164,25 @@ def strings(batch: pa.RecordBatch, name: str) -> list[str]:
     return [x or "" for x in batch.column(name).to_pylist()]
 
 
+class Taken:
+    """Which places of a text spans cover; asked by binary search."""
+
+    def __init__(self, spans: Iterable[tuple[int, int]]):
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+        for start, end in sorted(spans):
+            if self.ends and start <= self.ends[-1]:
+                self.ends[-1] = max(self.ends[-1], end)
+            else:
+                self.starts.append(start)
+                self.ends.append(end)
+
+    def touches(self, start: int, end: int) -> bool:
+        """Whether a span covers a place of [start, end)."""
+        at = bisect_left(self.starts, end)
+        return at > 0 and self.ends[at - 1] > start
+
+
 class Bitmap:
     """A Bloom filter of one bit per key over 64-bit keys; its fixed size is the bound of what is broadcast.
 
@@ -203,3 +223,14 @@ def attach(rows: DataFrame, values: DataFrame, key: str, count: str, how: str =
 
 def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
+
+
+#: CRC-32 of an ASCII text, for SQL twins (DuckDB has none): a table made by its rule, as ``crc(tbl)``, and a fold over the characters.
+CRC_TABLE_SQL = """crc AS (SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+  lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS tbl)"""
+
+
+def crc_sql(text: str) -> str:
+    """CRC-32 of the SQL expression ``text`` where ``crc`` is joined."""
+    codes = f"list_transform(range(1, length({text}) + 1), lambda i: ascii(substr({text}, i, 1))::BIGINT)"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {codes}), lambda c, b: xor(c >> 8, tbl[(xor(c, b) & 255) + 1])), 4294967295)"

@@ -29,7 +29,7 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from asofkit.llm.common import Scratch, attach, map_arrow, map_rows, table, union_all
+from asofkit.llm.common import CRC_TABLE_SQL, Scratch, attach, crc_sql, map_arrow, map_rows, table, union_all
 
 #: Bytes of a turn: its digest, and its length.
 UNIT, DIGEST = 20, 16
@@ -276,3 +276,24 @@ def prefix_trie(convs: DataFrame, most: int = 4_096, piece: int = 50_000) -> Dat
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every node of the trie of the rebuilt conversations."""
     return prefix_trie(rebuilt(sequences_of(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))))
+
+
+OP12_SQL = f"""
+WITH {CRC_TABLE_SQL},
+t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (PARTITION BY conv_id
+  ORDER BY turn NULLS FIRST, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS pos FROM conversations),
+h AS (SELECT conv_id AS c, conv_id - conv_id % 100 AS base, {crc_sql("conv_id::VARCHAR")} % 6 AS h FROM (SELECT DISTINCT conv_id FROM conversations), crc),
+r AS (SELECT c, pos, role, text FROM h JOIN t ON t.conv_id = base AND pos <= h UNION ALL SELECT c, pos, role, text FROM h JOIN t ON t.conv_id = c AND pos > h),
+k AS (SELECT c, row_number() OVER (PARTITION BY c ORDER BY pos) AS d, length(text) AS len, md5(length(role) || ':' || role || text) AS key FROM r),
+p AS (SELECT c, d, len, string_agg(key, '') OVER (PARTITION BY c ORDER BY d) AS path FROM k
+  UNION ALL SELECT c, 0, 0, '' FROM h),
+m AS (SELECT *, lag(path) OVER (PARTITION BY c ORDER BY d) AS up, d = max(d) OVER (PARTITION BY c) AS whole FROM p),
+g AS (SELECT path, d, min(up) AS up, min(c) AS conv_id, count(*) AS n, min(len) AS len,
+  sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE whole), '')) AS ends FROM m GROUP BY path, d),
+n AS (SELECT g.*, coalesce(children, 0) AS children FROM g LEFT JOIN (SELECT up AS path, count(*) AS children FROM g WHERE d > 0 GROUP BY up) USING (path)),
+s AS (SELECT m.path, sum((children = 0)::BIGINT)::BIGINT AS leaves, sum((n - 1) * n.len)::BIGINT AS saved
+  FROM n JOIN m ON m.c = n.conv_id AND m.d <= n.d GROUP BY m.path)
+SELECT n.conv_id, n.d AS depth, a.conv_id AS parent_conv_id, n.n AS n_convs, n.children AS n_children, leaves AS n_leaves,
+  saved AS saved_tokens, n.ends AS ends_sha256
+FROM n JOIN s USING (path) LEFT JOIN g a ON n.d > 0 AND a.path = n.up
+"""

@@ -26,4 +26,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op13_simhash_dedup": simhash.op13_simhash_dedup,
 }
 
-ORACLES: dict[str, str] = {"op5_exact_dedup": exact_dedup.OP5_SQL}
+ORACLES: dict[str, str] = {
+    "op5_exact_dedup": exact_dedup.OP5_SQL,
+    "op11_conversation_repair": repair.OP11_SQL,
+    "op12_prefix_trie": prefix_trie.OP12_SQL,
+}

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from asofkit.llm.common import Scratch, map_rows, table
+from asofkit.llm.common import CRC_TABLE_SQL, Scratch, crc_sql, map_rows, table
 
 #: States, and what each reads next. NOTHING and AFTER_A may end.
 NOTHING, AFTER_S, AFTER_U, AFTER_A = range(4)
@@ -337,3 +337,47 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (every.join(done, F.col("id").eqNullSafe(F.col("conv_id")), "left").join(span, F.col("id").eqNullSafe(F.col("c")), "left")
             .select(F.col("id").alias("conv_id"), *map(count, ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")),
                     F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.lit(hashlib.sha256().hexdigest())).alias("repaired_sha256")))
+
+
+#: The same by plain recursion over rows. Insertions are left out: to delete what they would complete, and at worst a system row
+#: before it, costs 4 at most, so none is ever cheapest.
+OP11_SQL = f"""
+WITH RECURSIVE {CRC_TABLE_SQL},
+w AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+  coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key FROM conversations),
+v AS (SELECT conv_id, turn, role, text, {crc_sql("key")} % 20 AS k FROM w, crc),
+x AS (SELECT conv_id, turn, CASE WHEN k = 4 THEN 'user' ELSE role END AS role,
+  CASE k WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+  unnest(CASE WHEN k = 3 THEN [0, 1] ELSE [0] END) AS copy FROM v WHERE k <> 0),
+o AS (SELECT conv_id, turn, role, text, left(role, 1) AS init, row_number() OVER (PARTITION BY conv_id
+  ORDER BY turn NULLS FIRST, md5(length(role) || ':' || role || text)) AS i FROM x),
+f AS (SELECT *, NOT regexp_matches(text, '[^\\x20\\x09-\\x0D]') AS blank, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
+  right(rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 1) NOT IN ('.', '!', '?') AS cut,
+  lag(init) OVER (PARTITION BY conv_id ORDER BY i) || init NOT IN ('su', 'ua', 'au') AS joint, count(*) OVER (PARTITION BY conv_id) AS n FROM o),
+z AS (SELECT *, NOT (blank OR again) AS may, CASE WHEN cut THEN 5 ELSE 0 END AS worse FROM f),
+back AS (SELECT DISTINCT conv_id, n + 1 AS i, 0 AS e, 1000000 AS s, 1000000 AS u, 0 AS a FROM z
+  UNION ALL SELECT z.conv_id, z.i,
+    least(2 + e, CASE WHEN may AND init = 's' THEN worse + s END, CASE WHEN may AND init = 'u' THEN worse + u END, CASE WHEN may THEN 1 + worse + u END),
+    least(2 + s, CASE WHEN may AND init = 'u' THEN worse + u END, CASE WHEN may THEN 1 + worse + u END),
+    least(2 + u, CASE WHEN may AND init = 'a' THEN worse + a END, CASE WHEN may THEN 1 + worse + a END),
+    least(2 + a, CASE WHEN may AND init = 'u' THEN worse + u END, CASE WHEN may THEN 1 + worse + u END)
+  FROM back b JOIN z ON z.conv_id IS NOT DISTINCT FROM b.conv_id AND z.i = b.i - 1),
+y AS (SELECT z.*, [b.e, b.s, b.u, b.a] AS here, [c.e, c.s, c.u, c.a] AS there
+  FROM z JOIN back b ON z.conv_id IS NOT DISTINCT FROM b.conv_id AND z.i = b.i JOIN back c ON z.conv_id IS NOT DISTINCT FROM c.conv_id AND z.i + 1 = c.i),
+fore AS (SELECT DISTINCT conv_id, 0::BIGINT AS i, 'e' AS state, '' AS edit, 'e' AS came FROM z
+  UNION ALL SELECT y.conv_id, y.i,
+    CASE edit_ WHEN 'D' THEN state WHEN 'K' THEN init ELSE CASE WHEN state = 'u' THEN 'a' ELSE 'u' END END, edit_, state
+  FROM fore p JOIN y ON y.conv_id IS NOT DISTINCT FROM p.conv_id AND y.i = p.i + 1, LATERAL (SELECT
+    CASE WHEN here[strpos('esua', state)] = 2 + there[strpos('esua', state)] THEN 'D'
+    WHEN may AND (state || init) IN ('es', 'eu', 'su', 'au', 'ua') AND here[strpos('esua', state)] = worse + there[strpos('esua', init)] THEN 'K' ELSE 'R' END AS edit_)),
+done AS (SELECT y.conv_id, string_agg(edit, '' ORDER BY y.i) AS audit,
+  sha256(coalesce(string_agg(CASE edit WHEN 'K' THEN role ELSE CASE WHEN came = 'u' THEN 'assistant' ELSE 'user' END END || ':' || text, chr(10) ORDER BY y.i)
+    FILTER (WHERE edit <> 'D'), '')) AS repaired_sha256
+  FROM y JOIN fore p ON y.conv_id IS NOT DISTINCT FROM p.conv_id AND y.i = p.i GROUP BY y.conv_id),
+sums AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, sum(blank::BIGINT)::BIGINT AS blank, sum((again AND NOT blank)::BIGINT)::BIGINT AS duplicate,
+  sum((cut AND NOT blank AND NOT again)::BIGINT)::BIGINT AS truncated, coalesce(sum(joint::BIGINT), 0)::BIGINT AS illegal FROM z GROUP BY conv_id)
+SELECT q.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+  coalesce(illegal, 0) AS illegal, coalesce(b.e, 0)::BIGINT AS cost, coalesce(audit, '') AS audit, coalesce(repaired_sha256, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) q LEFT JOIN sums ON sums.conv_id IS NOT DISTINCT FROM q.conv_id
+LEFT JOIN done ON done.conv_id IS NOT DISTINCT FROM q.conv_id LEFT JOIN back b ON b.conv_id IS NOT DISTINCT FROM q.conv_id AND b.i = 1
+"""
