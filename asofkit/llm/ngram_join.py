@@ -273,12 +273,9 @@ def _forest(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return keep
 
 
-def _block_pairs(members: DataFrame, vectors: DataFrame, tile: int, across: bool) -> DataFrame:
-    """Pairs of different components that the R-trees of the blocks let through: a forest of them inside each tile, or,
-    ``across`` tiles, all of them.
-
-    members: pivot, node, comp, n.
-    """
+def _dealt(members: DataFrame, vectors: DataFrame, tile: int, across: bool) -> DataFrame:
+    """Rows of blocks, members (pivot, node, comp, n), at their tiles: each in its own, and, ``across``, those outside a block's largest
+    component in all of them."""
     # Rows of a block without a row of another component near their size leave before the vectors come in.
     classes = members.withColumn("class", F.floor(F.log("n") / float(np.log(4 / 3)) + 1e-9))
     wide = (classes.withColumn("class", F.explode(F.array(F.col("class") - 1, F.col("class"), F.col("class") + 1)))
@@ -295,10 +292,12 @@ def _block_pairs(members: DataFrame, vectors: DataFrame, tile: int, across: bool
         placed = placed.withColumn("at", F.explode(away))
     else:
         placed = placed.withColumn("at", F.col("own"))
-    forest = not across
-    dealt = placed.join(vectors.select("node", "vec"), "node").select(
+    return placed.join(vectors.select("node", "vec"), "node").select(
         F.col("pivot").alias("key"), "at", (F.col("own") == F.col("at")).alias("home"), "node", "comp", "n", "vec")
 
+
+def _block_pairs(dealt: DataFrame, forest: bool) -> DataFrame:
+    """Pairs of different components that the R-trees of the tiles let through, or a ``forest`` of them in each tile."""
     def block(rows: list) -> tuple[np.ndarray, np.ndarray]:
         node, comp, n, home = (np.array([r[k] for r in rows], np.int64) for k in (0, 1, 2, 3))
         vecs = [unpacked(r[4]) for r in rows]
@@ -375,7 +374,7 @@ def components_of(docs: DataFrame, n: int = 5, tile: int = 1_000) -> DataFrame:
         here = blocks.withColumn("comp", F.col("node")) if comps is None else blocks.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
         if reps:
             here = here.join(large, "pivot", "left_semi").groupBy("pivot", "comp").agg(F.min(F.struct("node", "n")).alias("least")).select("pivot", "comp", "least.node", "least.n")
-        pairs = scratch.keep(_block_pairs(here, vectors, tile, across))
+        pairs = scratch.keep(_block_pairs(_dealt(here, vectors, tile, across), not across))
         if not pairs.isEmpty():
             links.append(scratch.keep(_verified(pairs, docs, rows, n)))
             comps = components(union_all(links), scratch)

@@ -13,7 +13,7 @@ import zstandard
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from asofkit.llm import bpe, exact_dedup, mixing, ngram_join, pii, quality_classifier, quality_rules, queries, secret_scan, token_counts, url_filter
+from asofkit.llm import bpe, common, exact_dedup, mixing, ngram_join, pii, quality_classifier, quality_rules, queries, secret_scan, token_counts, url_filter
 from asofkit.llm.common import table
 
 SF = "/root/testdata/sf0.001"
@@ -117,6 +117,38 @@ def test_no_pair_over_the_threshold_is_ruled_out():
             assert abs(np.diff(ngram_join.band(sizes))[0]) <= 1
 
 
+def test_one_row_of_each_component_stays(spark, docs, rows):
+    """Also where doc_ids repeat with other texts, or are null."""
+    r = random.Random(6)
+    base = [" ".join(r.choice("abcdefghij") * r.randint(1, 4) for _ in range(60)) for _ in range(6)]
+    frame = [(1, base[0]), (1, base[0] + " z"), (1, base[1]), (2, base[1] + " y"), (None, base[2]), (None, base[2] + " x"), (3, base[3]), (None, base[3] + " q"), (None, ""), (4, None), (5, "few words")]
+    got = ngram_join.one_of_each(spark.createDataFrame([(*x, 1) for x in frame], "doc_id long, text string, body int"))
+    assert got.columns == ["doc_id", "text", "body"]
+    kept = Counter((x.doc_id, x.text) for x in got.collect())
+    assert sum(kept.values()) == 7 and kept[(3, base[3])] == kept[(None, "")] == kept[(4, None)] == kept[(5, "few words")] == 1
+    assert sum(kept[x] for x in frame[:2]) == sum(kept[x] for x in frame[4:6]) == 1 and kept[(1, base[1])] == 1
+
+
+def test_a_block_of_near_copies_costs_its_size(spark, monkeypatch):
+    """Rows with vectors dealt in all rounds: linear in a block of near copies, where all pairs of tiles would be its square over the tile."""
+    dealt, make = [], ngram_join._dealt
+    r, base = random.Random(2), [f"w{i}" for i in range(300)]
+    texts = [" ".join(base[:k] + [f"x{r.random()}"] + base[k + 1 :]) for k in (r.randrange(300) for _ in range(1_500))]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+
+    def counted(*args):
+        rows = make(*args).cache()
+        biggest = rows.groupBy("key").count().agg({"count": "max"}).first()[0]
+        dealt.append((rows.count(), biggest or 0, args[0].groupBy("pivot").count().agg({"count": "max"}).first()[0] or 0))
+        return rows
+
+    monkeypatch.setattr(ngram_join, "_dealt", counted)
+    assert {x.component_id for x in ngram_join.ngram_join(frame, tile=50).collect()} == {0}
+    (_, first, block), (_, reps, _), (last, _, _) = dealt
+    # 30 tiles: all pairs of them would be 30 times the block
+    assert first == block >= 1_000 and reps <= 60 and last <= block
+
+
 # Op 5
 
 def test_exact_dedup(docs, rows):
@@ -213,6 +245,14 @@ def test_mixing(docs, rows, bucket_rows):
     assert sum(r["_words"] for r in each) == sum(by.values()) and all(0 <= r["_position"] <= 1 for r in each)
 
 
+def test_mixed_rows_are_the_occurrences_in_order(spark, docs, rows):
+    got = mixing.mixed_rows(docs)
+    assert got.columns == docs.columns
+    want = mixing.in_training_order(mixing.occurrences(mixing.streams(docs), cut=False), "row.doc_id").select("row.*")
+    assert Counter(got.collect()) == Counter(want.collect())
+    assert got.count() > 0 and len(got.select("row" if "row" in got.columns else "doc_id").collect()) == want.count()
+
+
 def test_mixing_stops_small_sources_and_reruns_agree(spark):
     frame = spark.createDataFrame([(i, "w " * (5 if i % 10 else 1), "big" if i % 10 else f"s{i % 20}") for i in range(400)], "doc_id long, text string, source string")
     a, b = ({(r.row.doc_id, r["_taken"], r["_target"]) for r in mixing.streams(f).collect()} for f in (frame, frame.repartition(7)))
@@ -496,16 +536,27 @@ def test_empty_tables(none, tmp_path):
     assert url_filter.url_verdicts(none.selectExpr("doc_id AS page_id", "text AS url")).count() == 0
 
 
-def test_a_worker_holds_one_operators_cache_and_caches_do_not_change_results(monkeypatch):
-    texts = ["one two one", "two three Two", "four five six seven eight", "one"]
-    want = [quality_classifier.features(*_words_and_measures(t)) for t in texts]
-    assert quality_classifier._BUCKETS and not ngram_join._HASHES
-    sets = [ngram_join.shingle_set(t.encode()) for t in texts]
-    assert ngram_join._HASHES and not quality_classifier._BUCKETS
-    for t, (at, value) in zip(texts, want, strict=True):
-        again, v = quality_classifier.features(*_words_and_measures(t))
+def test_an_operator_keeps_its_caches_until_another_ones_task(monkeypatch):
+    r = random.Random(1)
+    texts = [" ".join(r.choice(["one", "two", "Three", "fours", "5"]) + str(r.randint(0, 9)) for _ in range(30)) for _ in range(20)]
+    task = lambda operator, fn: list(common.thrifty(lambda batches: (fn(b) for b in batches), operator)(texts))
+    judge = lambda t: quality_classifier.features(*_words_and_measures(t))
+    filled = []
+
+    def seen(t):
+        filled.append((len(ngram_join._HASHES), len(quality_classifier._BUCKETS)))
+        return judge(t)
+
+    want = task("quality", seen)
+    # Both caches grow from text to text (texts are longer than the windows that are hashed), and into the next task.
+    assert all(x <= y and u <= v for (x, u), (y, v) in itertools.pairwise(filled)) and min(filled[-1]) >= 30
+    task("quality", seen)
+    assert filled[len(texts)] >= filled[len(texts) - 1]
+    sets = task("join", lambda t: (ngram_join.shingle_set(t.encode()), len(quality_classifier._BUCKETS)))
+    assert all(n == 0 for _, n in sets) and ngram_join._HASHES
+    for (at, value), (again, v) in zip(want, task("quality", judge), strict=True):
         assert (again == at).all() and (v == value).all()
-    assert not ngram_join._HASHES and all((ngram_join.shingle_set(t.encode()) == s).all() for t, s in zip(texts, sets, strict=True))
+    assert all((ngram_join.shingle_set(t.encode()) == s).all() for t, (s, _) in zip(texts, sets, strict=True))
     source = open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8").read()
     whole = [bpe.tools(source)[0].encode(t) for t in texts]
     monkeypatch.setattr(bpe, "CACHED", 1)
