@@ -116,16 +116,30 @@ _KIND = bytes(65 if c in _UPPER else 97 if c in _LOWER or c > 127 else 48 if 48
 _RUN = re.compile(rb"(.)\1+")
 
 
+class _Shapes(dict):
+    """Bucket of the shape of a word of kinds (runs of a kind of character as one); far fewer than words."""
+
+    def __missing__(self, kinds: bytes) -> int:
+        import xxhash
+
+        if len(self) > 50_000:
+            self.clear()
+        got = self[kinds] = xxhash.xxh3_64_intdigest(_RUN.sub(rb"\1", kinds)[:12], seed=1) % BUCKETS
+        return got
+
+
+_SHAPES = _Shapes()
+
+
 class _Buckets(dict):
-    """Two buckets of each word in one number: itself, and below it its shape (runs of a kind of character as one)."""
+    """Two buckets of each word in one number: itself, and below it its shape."""
 
     def __missing__(self, word: bytes) -> int:
         import xxhash
 
         if len(self) > 300_000:
             self.clear()
-        shape = _RUN.sub(rb"\1", word.translate(_KIND))[:12]
-        got = self[word] = xxhash.xxh3_64_intdigest(word.lower()) % BUCKETS * BUCKETS + xxhash.xxh3_64_intdigest(shape, seed=1) % BUCKETS
+        got = self[word] = xxhash.xxh3_64_intdigest(word.lower()) % BUCKETS * BUCKETS + _SHAPES[word.translate(_KIND)]
         return got
 
 
@@ -139,6 +153,7 @@ def features(words: list[bytes], m: dict[str, float]) -> tuple[np.ndarray, np.nd
     if not words:
         return np.empty(0, np.int64), np.empty(0)
     caching(_BUCKETS.clear)
+    caching(_SHAPES.clear)
     pairs = np.divmod(np.fromiter(map(_BUCKETS.__getitem__, words), np.int64, len(words)), BUCKETS)
     marks = [xxhash.xxh3_64_intdigest(f"{k}:{int(10 * v)}".encode(), seed=2) % BUCKETS for k, v in m.items() if k != "n"]
     shapes, count = np.unique(pairs[1], return_counts=True)

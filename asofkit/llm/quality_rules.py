@@ -57,10 +57,12 @@ def repeated_words(words: list[bytes], n: int = 8) -> int:
     """Words that lie in a window of ``n`` words found twice or more in the text."""
     if len(words) <= n:
         return 0
-    _, place, count = np.unique(windows(word_hashes(words), n), return_inverse=True, return_counts=True)
-    again = count[place] > 1
-    if not again.any():
+    found = windows(word_hashes(words), n)
+    ordered = np.sort(found)
+    if (ordered[1:] != ordered[:-1]).all():
         return 0
+    _, place, count = np.unique(found, return_inverse=True, return_counts=True)
+    again = count[place] > 1
     edge = np.zeros(len(words) + 1, np.int64)
     edge[:len(again)] += again
     edge[n : n + len(again)] -= again
