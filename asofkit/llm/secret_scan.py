@@ -10,12 +10,14 @@ automaton of words. The margin alone decides, so letters that are as likely a wo
 The sample: ``sample`` distinct values per kind, of smallest hash; words under ``LONG`` characters and longer ones are
 sampled apart, as long tokens and the numbers among them are rare, and train one automaton. Batches leave all but their
 own smallest out, which loses none of the smallest of all. Words that the first automata find more likely credentials
-leave the sample, and the automaton of words is made again. A kind with under 5 labelled values has no automaton.
+leave the sample, and the automaton of words is made again. A kind with under 5 labelled values must
+stand out the more, by a margin that widens as they get fewer.
 
 Defined results: null counts as empty; no spans give the digest of the empty string. Offsets are code points, ends
 exclusive. Spans of the method have the kind "format" and come after the listed kinds. Without labelled credentials of
 any kind nothing is added. Rows that repeat are scanned one for one; an empty table gives no rows; other columns are
-not read. Patterns take linear time on long texts.
+not read. Patterns take linear time on long texts, and whether a
+token touches a base span is a binary search.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from asofkit.llm.common import Scratch, caching, map_arrow, table, utf8
+from asofkit.llm.common import Scratch, Taken, caching, map_arrow, table, utf8
 
 KINDS = ("assign", "access", "hex", "format")
 
@@ -46,6 +48,7 @@ ACCESS = re.compile(rb"AKIA[A-Z0-9]{12,}")  # a shorter run holds no longer matc
 HEX = re.compile(rb"(?<![0-9a-f])[0-9a-f]{32,}")
 LEAST = 8  # characters of a labelled value, and so of a candidate
 LONG = 16
+FEW = 5  # labelled values of a kind below which its margin widens
 TOKEN = re.compile(rb"(?<![A-Za-z0-9+/_=.-])[A-Za-z0-9+/_=.-]{%d,}" % LEAST)
 
 
@@ -66,12 +69,12 @@ def base_spans(text: bytes) -> list[tuple[str, int, int, bytes]]:
 
 def other_tokens(text: bytes, spans: list[tuple]) -> list[tuple[int, int]]:
     """Tokens of ``LEAST`` characters or more that no span touches; dots, dashes and the like at their ends don't count."""
-    out, taken = [], sorted((s, e) for _, s, e, *_ in spans)
+    out, taken = [], Taken((s, e) for _, s, e, *_ in spans)
     for m in TOKEN.finditer(text):
         value = m[0].rstrip(b".-_/+")
         start = m.start() + len(value) - len(value.lstrip(b".-_/+"))
         end = m.start() + len(value)
-        if end - start >= LEAST and not any(s < end and start < e for s, e in taken):
+        if end - start >= LEAST and not taken.touches(start, end):
             out.append((start, end))
     return out
 
@@ -202,7 +205,9 @@ class Model:
     def __init__(self, values: dict[str, list[str]], margin: float = 12.0):
         """margin: log odds from which a token counts as a credential."""
         self.margin = margin
-        self.kinds = {k: Automaton(v) for k, v in values.items() if k != "word" and len(v) >= 5}
+        self.kinds = {k: Automaton(v) for k, v in values.items() if k != "word" and v}
+        # A format known from few values only must stand out the more.
+        self.doubt = {k: margin * max(0, FEW - len(values[k])) / FEW for k in self.kinds}
         words = values.get("word", [])
         self.word = Automaton(words)
         # Words of the sample that are more likely credentials are just that, without a label; they would teach their format.
@@ -213,7 +218,7 @@ class Model:
         """Log odds of a credential's format against a word's."""
         if not self.kinds:
             return float("-inf")
-        return max(a.log_likelihood(value) for a in self.kinds.values()) - self.word.log_likelihood(value)
+        return max(a.log_likelihood(value) - self.doubt[k] for k, a in self.kinds.items()) - self.word.log_likelihood(value)
 
     def score_token(self, token: bytes) -> float:
         """The same; scores of usual shapes are kept, which most words share."""
