@@ -10,22 +10,25 @@ The sample: ``sample`` windows per kind and as many without, of smallest hash, c
 
 Defined results: null counts as empty; no spans give the digest of the empty string. Offsets are code points, ends
 exclusive. Added spans have the same kinds. Rows that repeat are scanned one for one; an empty table gives no rows, and
-nothing is trained without base spans (then nothing is added). Other columns are not read. Patterns take linear time.
+nothing is trained without base spans (then nothing is added). Other columns are not read. Patterns take linear time,
+and long texts are scored in pieces of a bounded number of windows.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from asofkit.llm.common import Scratch, map_arrow, table, utf8
+from asofkit.llm.common import Scratch, Taken, map_arrow, table, utf8
 from asofkit.llm.secret_scan import code_points, span_columns
 
 KINDS = ("email", "ip", "card", "phone")
 WINDOW, STRIDE = 64, 32
+OVERLAP = 4  # windows that two pieces of a long run share
 LABELS = 1 + 2 * len(KINDS)  # none, then begin and inside of each kind
 _TRIGGER = re.compile(rb"[0-9@]")
 _LOCAL = b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
@@ -277,43 +280,65 @@ def _blended(text: bytes, starts: list[int], em: np.ndarray) -> list[tuple[int,
     return out
 
 
+def pieces_of(text: bytes, starts: list[int], windows: int) -> list[tuple[list[int], int, int]]:
+    """The windows of a text in pieces of ``windows`` at most, and the part of the text each of them speaks for.
+
+    A run of touching windows is one piece, so it is decoded as one; a longer one is cut into pieces that overlap by ``OVERLAP``
+    windows, and one speaks up to the middle of the overlap, the next from there on.
+    """
+    out, i = [], 0
+    while i < len(starts):
+        low = 0 if i == 0 else starts[i]
+        while i < len(starts):
+            j = i
+            while j + 1 < len(starts) and j + 1 - i < windows and starts[j + 1] - starts[j] <= STRIDE:
+                j += 1
+            whole = j + 1 == len(starts) or starts[j + 1] - starts[j] > STRIDE
+            high = (len(text) if j + 1 == len(starts) else starts[j + 1]) if whole else starts[j - OVERLAP // 2]
+            out.append((starts[i : j + 1], low, high))
+            low, i = high, j + 1 if whole else j + 1 - OVERLAP
+            if whole:
+                break
+    return out
+
+
 def added_spans(texts: list[bytes], tagger: Tagger, bases: list[list[tuple[str, int, int]]], windows: int = 2048) -> list[list[tuple[str, int, int]]]:
-    """The spans that the tagger adds to each text. Windows of many texts are scored side by side."""
+    """The spans that the tagger adds to each text. Windows of many texts are scored side by side, at most twice ``windows`` at a time."""
     out: list[list] = [[] for _ in texts]
+    taken = [Taken((a, b) for _, a, b in base) for base in bases]
     group, held = [], 0
 
     def close():
-        cut = [s for _, starts in group for s in starts]
-        x = np.zeros((len(cut), WINDOW), np.int64)
+        x = np.zeros((held, WINDOW), np.int64)
         row = 0
-        for t, starts in group:
-            whole = codes(texts[t])
+        for t, starts, _, _ in group:
             for s in starts:
-                piece = whole[s : s + WINDOW]
+                piece = codes(texts[t][s : s + WINDOW])
                 x[row, : len(piece)] = piece
                 row += 1
         em = np.concatenate([tagger.emissions(x[i : i + 512]) for i in range(0, len(x), 512)])
         runs, row = [], 0
-        for t, starts in group:
-            runs += [(t, first, run) for first, run in _blended(texts[t], starts, em[row : row + len(starts)])]
+        for t, starts, low, high in group:
+            runs += [(t, low, high, first, run) for first, run in _blended(texts[t], starts, em[row : row + len(starts)])]
             row += len(starts)
-        for (t, first, _), labels in zip(runs, tagger.decode([run for _, _, run in runs]), strict=True):
+        for (t, low, high, first, _), labels in zip(runs, tagger.decode([run for *_, run in runs]), strict=True):
             for at in np.flatnonzero(labels % 2 == 1).tolist():
                 stop = at + 1
                 while stop < len(labels) and labels[stop] == labels[at] + 1:
                     stop += 1
                 kind, s, e = KINDS[labels[at] // 2], first + at, first + stop
-                if holds(kind, texts[t][s:e]) and not any(a < e and s < b for _, a, b in bases[t]):
+                if low <= s < high and holds(kind, texts[t][s:e]) and not taken[t].touches(s, e) and not (out[t] and s < out[t][-1][2]):
                     out[t].append((kind, s, e))
 
     for t, text in enumerate(texts):
-        starts = window_starts(text)
-        if starts:
-            group.append((t, starts))
-            held += len(starts)
-        if group and (held >= windows or t == len(texts) - 1):
-            close()
-            group, held = [], 0
+        for piece in pieces_of(text, window_starts(text), windows):
+            group.append((t, *piece))
+            held += len(piece[0])
+            if held >= windows:
+                close()
+                group, held = [], 0
+    if group:
+        close()
     return out
 
 
@@ -323,14 +348,17 @@ def fit(docs: DataFrame, text: str = "text", sample: int = 300, steps: int = 400
         cols = {"kind": [], "window": [], "y": []}
         for t in utf8(batch, "t"):
             spans = base_spans(t)
+            taken, longest = Taken((s, e) for _, s, e in spans), max((e - s for _, s, e in spans), default=0)
+            ordered = sorted(spans, key=lambda x: x[1])
             for kind, s, e in spans:
                 # The place of the span in its window differs from window to window, by the text before it.
                 start = max(0, s - (s * 7 + e * 3) % 32)
                 cols["kind"].append(kind)
                 cols["window"].append(t[start : start + WINDOW])
-                cols["y"].append(labels_of(spans, start, start + WINDOW).tolist())
+                near = ordered[bisect_left(ordered, start - longest, key=lambda x: x[1]) : bisect_left(ordered, start + WINDOW, key=lambda x: x[1])]
+                cols["y"].append(labels_of(near, start, start + WINDOW).tolist())
             for start in window_starts(t):
-                if not any(s < start + WINDOW and e > start for _, s, e in spans):
+                if not taken.touches(start, start + WINDOW):
                     cols["kind"].append("none")
                     cols["window"].append(t[start : start + WINDOW])
                     cols["y"].append([0] * WINDOW)
