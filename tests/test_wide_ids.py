@@ -34,3 +34,8 @@ def same(spark, wide, name):
 @pytest.mark.parametrize("name", ["clean_flights", "allowed_keys", "colocated_flights", "enrich_zone_shift", "enrich_hot_instants"])
 def test_airports_beyond_a_smallint(spark, wide, name):
     same(spark, wide, name)
+
+
+@pytest.mark.parametrize("name", ["quality_exact", "quality_approx"])
+def test_reports_count_airports_beyond_a_smallint(spark, wide, name):
+    same(spark, wide, name)
