@@ -32,7 +32,7 @@ MODES = ("prepare", "quality", "join", "all")
 @dataclass(frozen=True)
 class PipelineConfig:
     """Inputs, output root and parameters. ``database`` None leaves the catalog alone; ``weather_in_reach`` keeps of the weather only
-    days that some flight can look back on within ``hours``."""
+    days that some flight can look back on within ``hours``; ``airport_ids`` is the whole type of the flights' airport ids."""
 
     flights_dir: str = "data/Flights"
     weather_dir: str = "data/Weather"
@@ -53,6 +53,7 @@ class PipelineConfig:
     month_report: bool = False
     segment_rows: int = SEGMENT_ROWS
     max_pieces: int | None = None
+    airport_ids: str = "smallint"
 
     def __post_init__(self):
         if self.mode not in MODES:
@@ -82,7 +83,8 @@ def prepare_measured(spark: SparkSession, config: PipelineConfig) -> dict[str, d
         return write_measured(df, path, measures(metrics[name]) | (more or {}), config.fmt)
 
     seen = {
-        "flight_clean": write(clean_flights(read_text_table(spark, flights_glob)), "flight_clean", paths.flights, flight_measures()),
+        "flight_clean": write(
+            clean_flights(read_text_table(spark, flights_glob), config.airport_ids), "flight_clean", paths.flights, flight_measures()),
         "airport_timezone_clean": write(
             clean_station_map(read_text_table(spark, config.station_csv)), "airport_timezone_clean", paths.stations),
     }

@@ -39,3 +39,7 @@ def test_airports_beyond_a_smallint(spark, wide, name):
 @pytest.mark.parametrize("name", ["quality_exact", "quality_approx"])
 def test_reports_count_airports_beyond_a_smallint(spark, wide, name):
     same(spark, wide, name)
+
+
+def test_the_jobs_reports_count_airports_beyond_a_smallint(spark, wide):
+    same(spark, wide, "pipeline_reports")
