@@ -9,14 +9,16 @@ Hot keys. A key is only one group as long as it is small. Larger ones are cut in
 row count, so a key, a day or an instant that holds a third of all rows spreads over many tasks:
 
 * Cut points come from a sample of (key, time), as in Spark's own range sort. They decide only which task does
-  the work, never the result. Their number is that of rows / ``segment_rows``, about 24 bytes each (a few MB for
-  1e11 rows), so the driver may hold them.
+  the work, never the result. Their number is that of rows / ``segment_rows``, about 24 bytes each, and ``MOST_PIECES`` at most,
+  so the driver may hold them, and a task sort their sample of ``_MOST_POINTS`` at most. Beyond that (1.3e11 rows in segments
+  of the default length) more rows make longer segments, not more of them.
 * A row finds its segment in an index of the cuts, level by level: a node of a key holds ``FAN`` cuts at most, so no row
   meets a key's whole list, whatever its length. The roots of keys with over a thousandth of all cuts (a thousand at most) are
   broadcast; every other level is broadcast below the session's threshold and else equi-joined on (key, node), where a
   node stands for ``FAN`` segments, so a hot key does not gather in one task.
 * A segment starts with the last N observations before it ("carry"). These are found among the last N of each
-  earlier segment, N x pieces rows at most, without moving the rest.
+  earlier segment, N x pieces rows at most, without moving the rest: a block of ``BLOCK`` segments at a time, each led by the
+  last N before it, which are found among the last N of each earlier block.
 * An instant that spans several cut points cannot be cut by time. Of its observations only the N that rank
   highest can ever be seen, so the others stop at the map side; its left rows are dealt over several salts, each
   of which gets the (at most N) observations they all share.
@@ -39,7 +41,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SEGMENT_ROWS = 1_000_000
+#: Cuts that pass through the driver at most, whatever the length of segments asked for.
+MOST_PIECES = 1 << 17
 _SAMPLE_PER_PIECE = 100
+#: Sampled rows at most: still 16 for each of ``MOST_PIECES``.
+_MOST_POINTS = 1 << 21
+#: Segments whose carry is found in one group.
+BLOCK = 512
 _MICROS_PER_HOUR = 3_600_000_000
 
 # order of rows at one instant: a segment's start, observations, left rows
@@ -92,16 +100,17 @@ def find_splits(points: DataFrame, keys: Sequence[str], segment_rows: int, max_p
     """Cut points for the keys that hold more than their share of ``points`` (columns: keys and ``_t``).
 
     None when everything is small enough for whole keys. Reads the key and time columns only. ``max_pieces`` is the
-    caller's own limit of pieces, which makes segments longer; ``total`` saves counting rows that are counted already.
+    caller's own limit of pieces below ``MOST_PIECES``, which makes segments longer; ``total`` saves counting rows that are counted
+    already.
     """
     spark = points.sparkSession
     total = points.count() if total is None else total
-    pieces = ceil(total / segment_rows)
+    pieces = min(ceil(total / segment_rows), MOST_PIECES)
     if max_pieces is not None:
         pieces = min(pieces, max_pieces)
     if pieces <= 1:
         return None
-    fraction = min(1.0, _SAMPLE_PER_PIECE * pieces / total)
+    fraction = min(1.0, min(_SAMPLE_PER_PIECE * pieces, _MOST_POINTS) / total)
     step = max(1, round(total * fraction / pieces))
     by_time = Window.partitionBy(*keys).orderBy("_t")
     cuts = (
@@ -244,12 +253,20 @@ def _split_observations(obs: DataFrame, keys: Sequence[str], n: int, hours: int
     probes = starts.withColumn("_side", F.explode(kinds)).where(
         (F.col("_side") == _START) | (F.col("_mult") > 1)
     )
-    small = (
-        tails.drop("_seg").withColumn("_side", F.lit(_OBSERVATION))
-        .unionByName(probes, allowMissingColumns=True)
-        .withColumns({"_seg": F.lit(0), "_salt": F.lit(0)})
-    )
-    carried = _look_back(small, keys, n).withColumn("_o", F.explode(_seen(n)))
+
+    def newest(few: DataFrame, at: DataFrame) -> DataFrame:
+        rows = few.withColumn("_side", F.lit(_OBSERVATION)).unionByName(at, allowMissingColumns=True)
+        return _look_back(rows.withColumn("_salt", F.lit(0)), keys, n).withColumn("_o", F.explode(_seen(n)))
+
+    if splits.most_cuts < BLOCK:
+        tails, probes = tails.withColumn("_seg", F.lit(0)), probes.withColumn("_seg", F.lit(0))
+    else:  # a block goes by its first segment
+        tails = tails.withColumn("_seg", F.col("_seg") - F.col("_seg") % BLOCK)
+        probes = probes.withColumn("_seg", F.col("_into") - F.col("_into") % BLOCK)
+        firsts = probes.where((F.col("_seg") == F.col("_into")) & (F.col("_side") == _START))
+        before = newest(_top(tails, [*keys, "_seg"], n).withColumn("_seg", F.lit(0)), firsts.withColumn("_seg", F.lit(0)))
+        tails = tails.unionByName(before.select(*keys, F.col("_into").alias("_seg"), F.col("_o.t").alias("_t"), "_o"))
+    carried = newest(tails, probes)
     # a start feeds the segment itself (salt 0), an instant its salts 1..mult
     salts = F.when(F.col("_side") == _START, F.array(F.lit(0))).otherwise(F.sequence(F.lit(1), F.col("_mult")))
     carried = carried.select(

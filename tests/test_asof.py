@@ -286,3 +286,38 @@ def test_deep_index_of_cuts(spark, threshold):
     finally:
         asof.FAN = fan
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+@pytest.mark.parametrize("lags", [0, 4])
+def test_carry_of_many_segments_is_found_in_blocks(spark, monkeypatch, lags):
+    """One key in over a thousand segments, some instants of which are hot: no group of the carry's search holds them all."""
+    biggest, plain = [], asof._look_back
+
+    def spy(rows, keys, n):
+        biggest.append(rows.groupBy(*keys, "_seg", "_salt").count().agg(F.max("count")).first()[0])
+        return plain(rows, keys, n)
+
+    monkeypatch.setattr(asof, "_look_back", spy)
+    monkeypatch.setattr(asof, "BLOCK", 32, raising=False)
+    rnd = random.Random(3)
+
+    def time():
+        return T0 + timedelta(minutes=rnd.choice((rnd.randrange(6000), 3000, 3001, 5900)) if rnd.random() < 0.1 else rnd.randrange(6000))
+
+    left, right = [(i, 0, time()) for i in range(1500)], [(0, time(), rnd.randrange(3), i) for i in range(1500)]
+    got = run(spark, left, right, hours=12, lags=lags, segment_rows=2)
+    assert actual(got, lags) == expected(left, right, 12, lags)
+    assert max(biggest) < 40 * (max(lags, 1) + 2)
+
+
+def test_cuts_and_their_sample_are_bounded(spark, monkeypatch):
+    """However short the segments asked for, the driver gets a bounded number of cuts."""
+    points = spark.range(400_000).select(F.lit(0).alias("_k0"), F.col("id").alias("_t"))
+    s = asof.find_splits(points, ["_k0"], segment_rows=1, max_pieces=None)
+    assert 100_000 < s.most_cuts < 150_000
+    frames, of = [], type(points).sample
+    monkeypatch.setattr(type(points), "sample", lambda df, **kw: frames.append(of(df, **kw)) or frames[-1])
+    monkeypatch.setattr(asof, "_MOST_POINTS", 50_000, raising=False)
+    monkeypatch.setattr(asof, "MOST_PIECES", 2_000, raising=False)
+    s = asof.find_splits(points, ["_k0"], segment_rows=1, max_pieces=None)
+    assert 1_500 < s.most_cuts <= 2_500 and frames[0].count() < 60_000
