@@ -272,3 +272,13 @@ def test_held_lets_go_on_failure(spark):
 
 def test_scratch_dir_is_shared_folder(spark):
     assert tables.scratch_dir(spark).startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_enrichment_check_makes_only_joined_weather_columns(spark, monkeypatch):
+    from asofkit.checks import queries
+    from asofkit.plans.features import JOIN_FEATURES
+
+    written, plain = {}, queries.io.through_table
+    monkeypatch.setattr(queries.io, "through_table", lambda df, path: written.setdefault(path.rsplit("/", 1)[1], plain(df, path)))
+    queries.flat_all_features(spark, "/root/testdata/sf0.001")
+    assert set(written["weather_clean.parquet"].columns) == {"WBAN", "AirportId", "timestamp", *JOIN_FEATURES}
