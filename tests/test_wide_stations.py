@@ -34,7 +34,7 @@ def report(spark, wide, name):
     return {r["dataset"]: r for r in rows}
 
 
-@pytest.mark.parametrize("name", ["quality_approx"])
+@pytest.mark.parametrize("name", ["quality_approx", "quality_exact"])
 def test_reports_count_all_stations(spark, wide, name):
     got = report(spark, wide, name)
     stations, weather = got["airport_timezone_clean"], got["weather_clean"]
